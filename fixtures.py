@@ -12,6 +12,7 @@ need, and instances come from ``customer`` so that their number grows with the d
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,23 @@ class View:
         return f"{text} union all {self.also.sql()}" if self.also else text
 
 
+# The columns of the test tables that the views use. Declared, so that opening a table
+# needs no look into its files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_returnflag string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+}
+
+
 def _text(expression: str) -> str:
     return f"cast({expression} as string)"
 
@@ -296,9 +314,13 @@ def library(spark: SparkSession, sf_dir: str) -> Tables:
     """The library tables over the Parquet files in ``sf_dir``."""
     # Day bounds and document times are read in the session's zone.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+    @cache
+    def source(name: str) -> DataFrame:
+        return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
     return Tables({
-        name: lambda v=view: v.frame(spark.read.parquet(f"{sf_dir}/{v.source}.parquet"))
-        for name, view in VIEWS.items()
+        name: lambda v=view: v.frame(source(v.source)) for name, view in VIEWS.items()
     })
 
 

@@ -1,4 +1,6 @@
-from shelfmark.functions.documents import Elements, explode_elements, with_document_fields
+from shelfmark.functions.documents import (
+    Elements, document_schema, explode_elements, with_document_fields,
+)
 from shelfmark.functions.text import (
     catalog_link, compose_call_number, concat_present, matches_regex, normalise_code, parse_code_list,
 )
@@ -8,6 +10,6 @@ from shelfmark.functions.values import (
 
 __all__ = [
     "Elements", "as_boolean", "as_timestamp", "as_uuid", "catalog_link", "compose_call_number",
-    "concat_present", "explode_elements", "matches_regex", "normalise_code", "parse_code_list",
+    "concat_present", "document_schema", "explode_elements", "matches_regex", "normalise_code", "parse_code_list",
     "with_document_fields", "within_days", "within_midnights",
 ]

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 _HASH = "_key_hash"
 
+# Most rows to broadcast by hint: at some 100 bytes for ids and short texts, 50 MB.
+FEW_ROWS = 500_000
+
 
 def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join of rows with possibly hot keys to a table already grouped by the key.
@@ -26,6 +29,34 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     )
 
 
+def is_few(df: DataFrame, limit: int = FEW_ROWS) -> bool:
+    """Whether there are at most ``limit`` rows. Counts at once, and no further than that.
+
+    Spark's own estimate of a filtered or joined table's size is far too high to let it
+    broadcast one; this is the check that allows a hint. Meant for narrow rows.
+    """
+    return df.limit(limit + 1).count() <= limit
+
+
+def broadcast_few(df: DataFrame, limit: int = FEW_ROWS) -> DataFrame:
+    """The rows marked for broadcast if they are few, else left to Spark's choice."""
+    return F.broadcast(df) if is_few(df, limit) else df
+
+
+def few_keys(keys: DataFrame, limit: int = FEW_ROWS) -> DataFrame | None:
+    """The distinct keys marked for broadcast if they are few, else None."""
+    distinct = keys.distinct()
+    return F.broadcast(distinct) if is_few(distinct, limit) else None
+
+
+def keep_keys(df: DataFrame, keys: DataFrame | None) -> DataFrame:
+    """Drop rows that a later join on the key columns would drop, before they are shuffled.
+
+    Without a small key set this does nothing, and the later join does all the work.
+    """
+    return df if keys is None else df.join(keys, keys.columns, "left_semi")
+
+
 def lookup_names(
     df: DataFrame, roles: Sequence[tuple[DataFrame, str, str]]
 ) -> DataFrame:

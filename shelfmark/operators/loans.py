@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from shelfmark.functions import within_days, within_midnights
+from shelfmark.operators.joins import keep_keys
 from shelfmark.operators.terms import Window
 
 # Loan action and previous statuses at check-in.
@@ -13,12 +14,15 @@ WAS_CHECKED_OUT = "Checked out"
 WAS_AVAILABLE = "Available"
 
 
-def count_checkouts(loans: DataFrame, window: Window | None = None) -> DataFrame:
+def count_checkouts(
+    loans: DataFrame, window: Window | None = None, items: DataFrame | None = None
+) -> DataFrame:
     """Checkouts per item, within the window if there is one.
 
     Counting before any join combines a popular item's loans inside each scan task.
+    ``items`` may name the few items that matter.
     """
-    checkouts = loans.where(F.col("action") == CHECKED_OUT_ACTION)
+    checkouts = keep_keys(loans.where(F.col("action") == CHECKED_OUT_ACTION), items)
     if window is not None:
         checkouts = checkouts.where(
             within_midnights(F.col("loan_date"), window.start, window.end)
@@ -27,16 +31,17 @@ def count_checkouts(loans: DataFrame, window: Window | None = None) -> DataFrame
 
 
 def count_checkouts_per_window(
-    loans: DataFrame, wanted: DataFrame, outer: Window | None = None
+    loans: DataFrame, wanted: DataFrame, outer: Window | None = None,
+    items: DataFrame | None = None,
 ) -> DataFrame:
     """Checkouts per distinct ``(item_id, window_start, window_end)`` row of ``wanted``.
 
     Loans are first counted per item and day, so an item brings at most two rows per
     calendar day into the range join, however often it was lent. ``outer`` spans all
-    wanted windows and cuts the loan scan.
+    wanted windows and cuts the loan scan; ``items`` may name the few items that matter.
     """
     moment, first_day = F.col("loan_date"), F.to_date("loan_date")
-    checkouts = loans.where(F.col("action") == CHECKED_OUT_ACTION)
+    checkouts = keep_keys(loans.where(F.col("action") == CHECKED_OUT_ACTION), items)
     if outer is not None:
         checkouts = checkouts.where(within_midnights(moment, outer.start, outer.end))
     # A loan is inside [start, end] exactly if first_day >= start and last_day <= end:
@@ -61,11 +66,14 @@ def count_checkouts_per_window(
     )
 
 
-def count_loans(loans_items: DataFrame, start_date: str, end_date: str) -> DataFrame:
-    """Loans per item, first and last day included as a whole."""
+def count_loans(
+    loans_items: DataFrame, start_date: str, end_date: str, items: DataFrame | None = None
+) -> DataFrame:
+    """Loans per item, first and last day included as a whole; ``items`` may name the few
+    items that matter."""
     start, end = F.lit(start_date).cast("date"), F.lit(end_date).cast("date")
     return (
-        loans_items.where(within_days(F.col("loan_date"), start, end))
+        keep_keys(loans_items.where(within_days(F.col("loan_date"), start, end)), items)
         .groupBy("item_id")
         .agg(F.count("loan_id").alias("loans"))
     )

@@ -74,10 +74,14 @@ def resolve_terms(
         .groupBy("course_listing_id")
         .agg(F.min("term").alias("own_term"))
     )
+    by_number = (
+        skew_join(courses.select("course_listing_id", "course_number"), by_listing,
+                  ["course_listing_id"], "inner")
+        .groupBy("course_number").agg(F.min("own_term").alias("shared_term"))
+    )
     own = skew_join(pairs, by_listing, ["course_listing_id"]).withColumn(
         "own_term", F.when(F.col("course_number").isNotNull(), F.col("own_term"))
     )
-    by_number = own.groupBy("course_number").agg(F.min("own_term").alias("shared_term"))
     return (
         skew_join(own, by_number, ["course_number"])
         .withColumn("term", F.coalesce("own_term", "shared_term"))

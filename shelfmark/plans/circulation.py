@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions import matches_regex, within_midnights
 from shelfmark.operators import (
-    conform, count_loans, date_literal, ordered, wide_items, with_titles,
+    broadcast_few, conform, count_loans, date_literal, few_keys, keep_keys, ordered, wide_items,
+    with_titles,
 )
 from shelfmark.operators.loans import WAS_AVAILABLE, WAS_CHECKED_OUT
 from shelfmark.sources import Tables
@@ -35,11 +36,14 @@ def circ_stats_course_reserves(
     """Loans of the items on reserve for courses whose name matches a pattern."""
     courses = tables["courses"].where(matches_regex(F.col("name"), circ_stat_course_name))
     reserved = (
-        tables["reserves"].join(courses, "course_listing_id", "left_semi")
-        .select("item_id").distinct()
+        tables["reserves"].where(F.col("item_id").isNotNull())
+        .join(courses, "course_listing_id", "left_semi").select("item_id").distinct()
     )
-    counts = count_loans(tables["loans_items"], start_date, end_date).where(F.col("loans") >= 1)
-    items = wide_items(tables, ["item_id", "barcode", "holdings_record_id"])
+    few = few_keys(reserved)
+    counts = count_loans(tables["loans_items"], start_date, end_date, few).where(
+        F.col("loans") >= 1
+    )
+    items = wide_items(tables, ["item_id", "barcode", "holdings_record_id"], few)
     rows = (
         with_titles(tables, reserved.join(counts, "item_id").join(items, "item_id", "left"))
         .select("barcode", "instance_title", "loans").distinct()
@@ -63,7 +67,7 @@ def circulation_history(
             F.col("occurred_date_time"), date_literal(start_date), date_literal(end_date)
         )
     )
-    rows = events.join(_current_items(tables, barcode_to_check), "item_id")
+    rows = _of_items(events, _current_items(tables, barcode_to_check))
     if isinstance(barcode_to_check, DataFrame):
         found = rows.select("id", "occurred_date_time", "barcode")
         return conform(found, [*CHECK_IN_SCHEMA, ("barcode", "string")])
@@ -73,7 +77,7 @@ def circulation_history(
 def internal_use_count(tables: Tables, barcode_to_check: str) -> DataFrame:
     """How often the item with a barcode was checked in without having been lent."""
     events = _check_ins(tables, WAS_AVAILABLE)
-    rows = events.join(_current_items(tables, barcode_to_check), "item_id")
+    rows = _of_items(events, _current_items(tables, barcode_to_check))
     return conform(rows.agg(F.count("id")), INTERNAL_USE_SCHEMA)
 
 
@@ -97,22 +101,21 @@ def zero_use_items(
     location_id: str = ZERO_USE_LOCATION,
 ) -> DataFrame:
     """Current items of a location without a check-in between two dates."""
+    holdings = tables["holdings_history"].where(
+        F.col("permanent_location_id") == location_id
+    ).select(F.col("id").alias("holdings_record_id"), "instance_id")
+    items = tables["item_history"].where(F.col("__current")).select(
+        F.col("id").alias("item_id"), "holdings_record_id"
+    ).join(holdings, "holdings_record_id")
     used = tables["check_ins"].where(
         within_midnights(
             F.col("occurred_date_time"), date_literal(start_date), date_literal(end_date)
         )
-    ).select(F.col("item_id").alias("id")).distinct()
-    holdings = tables["holdings_history"].where(
-        F.col("permanent_location_id") == location_id
-    ).select(F.col("id").alias("holdings_record_id"), "instance_id")
+    ).select("item_id")
+    used = keep_keys(used, few_keys(items.select("item_id"))).distinct()
     titles = tables["instance_history"].select(F.col("id").alias("instance_id"), "title")
-    items = tables["item_history"].where(F.col("__current")).select("id", "holdings_record_id")
-    rows = (
-        items.join(holdings, "holdings_record_id")
-        .join(titles, "instance_id")
-        .join(used, "id", "left_anti")
-    )
-    return conform(rows.select("id", "title"), ZERO_USE_SCHEMA)
+    rows = items.join(used, "item_id", "left_anti").join(titles, "instance_id")
+    return conform(rows.select("item_id", "title"), ZERO_USE_SCHEMA)
 
 
 def _check_ins(tables: Tables, previous_status: str) -> DataFrame:
@@ -129,3 +132,8 @@ def _current_items(tables: Tables, barcodes: str | DataFrame | None) -> DataFram
     if isinstance(barcodes, DataFrame):
         items = items.join(barcodes.select("barcode"), "barcode", "left_semi")
     return items
+
+
+def _of_items(events: DataFrame, items: DataFrame) -> DataFrame:
+    """Events of the items; few items are broadcast, so that no event is shuffled."""
+    return events.join(broadcast_few(items), "item_id")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions import (
     as_boolean, as_uuid, catalog_link, compose_call_number, concat_present, matches_regex,
 )
 from shelfmark.operators import (
-    conform, explode_notes, item_notes, lookup_names, ordered, wide_items, with_titles,
+    broadcast_few, conform, explode_notes, item_notes, lookup_names, ordered, skew_join,
+    wide_items, with_noted_items_only, with_titles,
 )
 from shelfmark.sources import Tables
 
@@ -47,7 +48,12 @@ def class_list(
     The composed call number holds the effective call number twice and no suffix;
     ``fix_duplicate`` puts the suffix in the second place.
     """
-    notes = item_notes(tables).where(matches_regex(F.col("note"), note_string))
+    def wanted(note: Column) -> Column:
+        return matches_regex(note, note_string)
+
+    if "item_notes" not in tables and "item_ext" not in tables:
+        tables = with_noted_items_only(tables, wanted)
+    notes = item_notes(tables).where(wanted(F.col("note")))
     second = "effective_call_number_suffix" if fix_duplicate else "effective_call_number"
     parts = [
         "effective_call_number_prefix", "effective_call_number", second, "volume", "copy_number",
@@ -60,7 +66,7 @@ def class_list(
         F.col("location_id").alias("effective_location_id"), "location_code"
     )
     rows = (
-        with_titles(tables, items.join(notes, "item_id"))
+        with_titles(tables, skew_join(notes, items, ["item_id"], "inner"))
         .join(codes, "effective_location_id", "left")
         .select(
             "barcode", "location_code", "effective_location_name",
@@ -91,7 +97,8 @@ def collection_inventory(
         "id", "barcode", "volume", "copy_number", "holdings_record_id", "effective_location_id"
     )
     rows = (
-        items.join(holdings.join(instances, "instance_id"), "holdings_record_id")
+        items.join(broadcast_few(holdings), "holdings_record_id")
+        .join(instances, "instance_id")
         .join(contributors, "instance_id")
     )
     rows = lookup_names(rows, [(tables["locations"], "effective_location_id", "location")])
@@ -116,9 +123,10 @@ def note_type_items(
         ["holdingsrecordid", "effectivelocationid", "materialtypeid"], paths,
     ).withColumn("note_type", as_uuid(F.col("itemNoteTypeId")))
     notes = notes.where(F.col("note_type") == note_type_id)
-    types = tables["item_note_types"].select(
+    # All notes that are left share the one key, so this join must not shuffle by it.
+    types = broadcast_few(tables["item_note_types"].where(F.col("id") == note_type_id).select(
         F.col("id").alias("note_type"), F.col("name").alias("note_type_name")
-    )
+    ))
     holdings = tables["holdings"].select(
         F.col("id").alias("holdingsrecordid"), F.col("hrid").alias("holdings_hrid"),
         "call_number", "instance_id",

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.operators import (
     PERMANENT, Window, conform, count_checkouts, count_checkouts_per_window, count_versions,
-    current_only, date_literal, exclude_courses, is_on, item_facts, match_course_codes, ordered,
-    resolve_terms, skew_join, term_window,
+    current_only, date_literal, exclude_courses, few_keys, is_on, item_facts, match_course_codes,
+    ordered, resolve_terms, skew_join, term_window,
 )
 from shelfmark.sources import Tables
 
@@ -60,9 +60,10 @@ def reserves_permanent(
     """Checkouts between two dates for courses whose term is the permanent one."""
     courses = match_course_codes(exclude_courses(tables["courses"], exclusions), course_codes)
     resolved = _resolved(tables, courses).where(F.col("course_term") == PERMANENT)
-    rows = _on_reserve(resolved, current_only(tables["reserves"], show_historical), RESERVE_DATES)
+    reserves = current_only(tables["reserves"], show_historical)
     window = Window(date_literal(start_date), date_literal(end_date))
-    rows = _with_checkouts(tables, rows, window)
+    rows = _on_reserve(resolved, reserves, RESERVE_DATES)
+    rows = _with_checkouts(tables, rows, window, _few_items(tables, courses, reserves))
     return _dated_result(rows, _total(F.col("checkouts")), sort)
 
 
@@ -78,9 +79,10 @@ def reserves_quarter(
     """Checkouts within a named term's dates, or two given dates, for all courses."""
     courses = exclude_courses(tables["courses"], exclusions)
     resolved = _resolved_for_term(tables, courses, term_name, _allowed_terms(term_name))
-    rows = _on_reserve(resolved, current_only(tables["reserves"], show_historical))
+    reserves = current_only(tables["reserves"], show_historical)
     window = term_window(tables["terms"], term_name, start_date, end_date)
-    rows = _with_checkouts(tables, rows, window)
+    rows = _on_reserve(resolved, reserves)
+    rows = _with_checkouts(tables, rows, window, _few_items(tables, courses, reserves))
     result = rows.withColumn("checkout_count", _total(F.col("checkouts")))
     result = conform(result.select(*(n for n, _ in QUARTER_SCHEMA)), QUARTER_SCHEMA)
     return ordered(result, ["course_term"], sort)
@@ -109,12 +111,16 @@ def reserves_quarter_course(
         F.coalesce("term_start", window.start).alias("window_start"),
         F.coalesce("term_end", window.end).alias("window_end"),
     )
-    rows = _on_reserve(resolved, current_only(tables["reserves"], show_historical), RESERVE_DATES)
+    reserves = current_only(tables["reserves"], show_historical)
+    rows = _on_reserve(resolved, reserves, RESERVE_DATES)
+    items = _few_items(tables, courses, reserves)
+    # The count columns are always positive. Asking for them here keeps them in this use of
+    # the rows too, and with the same columns as below Spark runs the shuffles once.
+    wanted = rows.where((F.col("course_versions") > 0) & (F.col("reserve_versions") > 0))
     checkouts = count_checkouts_per_window(
-        tables["loans"], rows.where(F.col("window_start") <= F.col("window_end")),
-        _outer_window(tables["terms"], allowed, window),
+        tables["loans"], wanted, _outer_window(tables["terms"], allowed, window), items
     )
-    rows = skew_join(rows, item_facts(tables), ["item_id"])
+    rows = skew_join(rows, item_facts(tables, items), ["item_id"])
     rows = skew_join(rows, checkouts, ["item_id", "window_start", "window_end"])
     return _dated_result(rows, _total(F.col("checkouts")), sort)
 
@@ -145,7 +151,8 @@ def reserves_listings_only(
         resolved = resolved.where(F.col("course_term").isNotNull())
     undated = tables["reserves"].where(F.col("start_date").isNull())
     reserves = current_only(undated, by_code or is_on(show_historical_reserves))
-    rows = _with_checkouts(tables, _on_reserve(resolved, reserves, RESERVE_DATES), None)
+    rows = _on_reserve(resolved, reserves, RESERVE_DATES)
+    rows = _with_checkouts(tables, rows, None, _few_items(tables, courses, reserves))
     total = _total(F.col("checkouts"))
     if not (by_code or is_on(show_historical_checkouts)):
         total = F.when(F.col("__current"), total).otherwise(0)
@@ -196,9 +203,19 @@ def _on_reserve(
     return resolved.join(condensed, "course_listing_id")
 
 
-def _with_checkouts(tables: Tables, rows: DataFrame, window: Window | None) -> DataFrame:
-    counts = count_checkouts(tables["loans"], window)
-    return skew_join(rows, item_facts(tables).join(counts, "item_id", "left"), ["item_id"])
+def _few_items(tables: Tables, courses: DataFrame, reserves: DataFrame) -> DataFrame | None:
+    """The items on reserve for the courses, if few: far fewer than are lent, as a rule."""
+    if courses is not tables["courses"]:
+        reserves = reserves.join(courses, "course_listing_id", "left_semi")
+    return few_keys(reserves.select("item_id"))
+
+
+def _with_checkouts(
+    tables: Tables, rows: DataFrame, window: Window | None, items: DataFrame | None
+) -> DataFrame:
+    counts = count_checkouts(tables["loans"], window, items)
+    facts = item_facts(tables, items).join(counts, "item_id", "left")
+    return skew_join(rows, facts, ["item_id"])
 
 
 def _total(checkouts: Column) -> Column:
