@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.log.level": "ERROR",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
