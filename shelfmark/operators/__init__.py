@@ -2,7 +2,7 @@ from shelfmark.operators.courses import (
     count_versions, current_only, exclude_courses, is_on, match_course_codes,
 )
 from shelfmark.operators.joins import (
-    broadcast_few, few_keys, keep_keys, lookup_names, skew_join,
+    broadcast_few, few_keys, is_few, keep_keys, lookup_names, skew_join,
 )
 from shelfmark.operators.loans import count_checkouts, count_checkouts_per_window, count_loans
 from shelfmark.operators.records import (
@@ -15,7 +15,7 @@ from shelfmark.operators.terms import PERMANENT, Window, date_literal, resolve_t
 __all__ = [
     "PERMANENT", "Window", "broadcast_few", "conform", "count_checkouts",
     "count_checkouts_per_window", "count_loans", "count_versions", "current_only", "date_literal", "exclude_courses",
-    "explode_notes", "few_keys", "is_on", "item_facts", "item_notes", "keep_keys",
+    "explode_notes", "few_keys", "is_few", "is_on", "item_facts", "item_notes", "keep_keys",
     "lookup_names", "match_course_codes",
     "ordered", "resolve_terms", "skew_join", "term_window", "wide_instances", "wide_items",
     "with_noted_items_only", "with_titles",

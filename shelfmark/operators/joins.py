@@ -8,19 +8,25 @@ from pyspark.sql import DataFrame, functions as F
 
 _HASH = "_key_hash"
 
-# Most rows to broadcast by hint: at some 100 bytes for ids and short texts, 50 MB.
-FEW_ROWS = 500_000
+# Most rows to broadcast by hint: at some 150 bytes for ids and short texts, 30 MB.
+FEW_ROWS = 200_000
 
 
-def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+def skew_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", few: bool = False
+) -> DataFrame:
     """Equi-join of rows with possibly hot keys to a table already grouped by the key.
 
     Adaptive execution splits a hot partition only where both inputs of the join come
     straight out of a shuffle. A grouped right side is already partitioned by the key,
     so Spark would join it as it is and leave the hot key to a single task. Joining on
     the key and its hash asks for a fresh shuffle on both sides, and the split applies.
-    Small right sides are still broadcast by Spark's own size check.
+
+    ``few`` tells that the right side was counted and found small; it is then broadcast,
+    and the left side stays where it is.
     """
+    if few:
+        return left.join(F.broadcast(right), list(on), how)
     key_hash = F.xxhash64(*on)
     return (
         left.withColumn(_HASH, key_hash)
@@ -29,21 +35,23 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     )
 
 
-def is_few(df: DataFrame, limit: int = FEW_ROWS) -> bool:
-    """Whether there are at most ``limit`` rows. Counts at once, and no further than that.
+def is_few(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether there are at most ``limit`` rows, by default ``FEW_ROWS``. Counts at once, and
+    no further than that.
 
     Spark's own estimate of a filtered or joined table's size is far too high to let it
     broadcast one; this is the check that allows a hint. Meant for narrow rows.
     """
+    limit = FEW_ROWS if limit is None else limit
     return df.limit(limit + 1).count() <= limit
 
 
-def broadcast_few(df: DataFrame, limit: int = FEW_ROWS) -> DataFrame:
+def broadcast_few(df: DataFrame, limit: int | None = None) -> DataFrame:
     """The rows marked for broadcast if they are few, else left to Spark's choice."""
     return F.broadcast(df) if is_few(df, limit) else df
 
 
-def few_keys(keys: DataFrame, limit: int = FEW_ROWS) -> DataFrame | None:
+def few_keys(keys: DataFrame, limit: int | None = None) -> DataFrame | None:
     """The distinct keys marked for broadcast if they are few, else None."""
     distinct = keys.distinct()
     return F.broadcast(distinct) if is_few(distinct, limit) else None

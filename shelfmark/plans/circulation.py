@@ -34,7 +34,10 @@ def circ_stats_course_reserves(
     sort: bool = True,
 ) -> DataFrame:
     """Loans of the items on reserve for courses whose name matches a pattern."""
-    courses = tables["courses"].where(matches_regex(F.col("name"), circ_stat_course_name))
+    courses = broadcast_few(
+        tables["courses"].where(matches_regex(F.col("name"), circ_stat_course_name))
+        .select("course_listing_id")
+    )
     reserved = (
         tables["reserves"].where(F.col("item_id").isNotNull())
         .join(courses, "course_listing_id", "left_semi").select("item_id").distinct()

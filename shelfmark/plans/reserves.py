@@ -9,13 +9,14 @@ every version had been joined to every loan, at none of the cost.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.operators import (
     PERMANENT, Window, conform, count_checkouts, count_checkouts_per_window, count_versions,
-    current_only, date_literal, exclude_courses, few_keys, is_on, item_facts, match_course_codes,
-    ordered, resolve_terms, skew_join, term_window,
+    current_only, date_literal, exclude_courses, few_keys, is_few, is_on, item_facts,
+    match_course_codes, ordered, resolve_terms, skew_join, term_window,
 )
 from shelfmark.sources import Tables
 
@@ -58,12 +59,12 @@ def reserves_permanent(
     sort: bool = True,
 ) -> DataFrame:
     """Checkouts between two dates for courses whose term is the permanent one."""
-    courses = match_course_codes(exclude_courses(tables["courses"], exclusions), course_codes)
+    courses = _chosen(tables, exclusions, course_codes)
     resolved = _resolved(tables, courses).where(F.col("course_term") == PERMANENT)
     reserves = current_only(tables["reserves"], show_historical)
     window = Window(date_literal(start_date), date_literal(end_date))
     rows = _on_reserve(resolved, reserves, RESERVE_DATES)
-    rows = _with_checkouts(tables, rows, window, _few_items(tables, courses, reserves))
+    rows = _with_checkouts(tables, rows, window, _few_items(courses, reserves))
     return _dated_result(rows, _total(F.col("checkouts")), sort)
 
 
@@ -77,12 +78,12 @@ def reserves_quarter(
     sort: bool = True,
 ) -> DataFrame:
     """Checkouts within a named term's dates, or two given dates, for all courses."""
-    courses = exclude_courses(tables["courses"], exclusions)
+    courses = _chosen(tables, exclusions)
     resolved = _resolved_for_term(tables, courses, term_name, _allowed_terms(term_name))
     reserves = current_only(tables["reserves"], show_historical)
     window = term_window(tables["terms"], term_name, start_date, end_date)
     rows = _on_reserve(resolved, reserves)
-    rows = _with_checkouts(tables, rows, window, _few_items(tables, courses, reserves))
+    rows = _with_checkouts(tables, rows, window, _few_items(courses, reserves))
     result = rows.withColumn("checkout_count", _total(F.col("checkouts")))
     result = conform(result.select(*(n for n, _ in QUARTER_SCHEMA)), QUARTER_SCHEMA)
     return ordered(result, ["course_term"], sort)
@@ -102,7 +103,7 @@ def reserves_quarter_course(
 
     A term without dates falls back to the window of the named term or given dates.
     """
-    courses = match_course_codes(exclude_courses(tables["courses"], exclusions), course_codes)
+    courses = _chosen(tables, exclusions, course_codes)
     allowed = None if is_on(show_historical) else _allowed_terms(term_name)
     resolved = _resolved_for_term(tables, courses, term_name, allowed)
     window = term_window(tables["terms"], term_name, start_date, end_date)
@@ -113,7 +114,7 @@ def reserves_quarter_course(
     )
     reserves = current_only(tables["reserves"], show_historical)
     rows = _on_reserve(resolved, reserves, RESERVE_DATES)
-    items = _few_items(tables, courses, reserves)
+    items = _few_items(courses, reserves)
     # The count columns are always positive. Asking for them here keeps them in this use of
     # the rows too, and with the same columns as below Spark runs the shuffles once.
     wanted = rows.where((F.col("course_versions") > 0) & (F.col("reserve_versions") > 0))
@@ -143,16 +144,14 @@ def reserves_listings_only(
     """
     by_code = isinstance(course_codes, DataFrame) or (course_codes or "").strip(" ") != ""
     one_term = not by_code and _names_term(term_name)
-    courses = match_course_codes(
-        exclude_courses(tables["courses"], exclusions, law_keeps_unnumbered=True), course_codes
-    )
+    courses = _chosen(tables, exclusions, course_codes, law_keeps_unnumbered=True)
     resolved = _resolved(tables, courses, [term_name] if one_term else None)
     if one_term:
         resolved = resolved.where(F.col("course_term").isNotNull())
     undated = tables["reserves"].where(F.col("start_date").isNull())
     reserves = current_only(undated, by_code or is_on(show_historical_reserves))
     rows = _on_reserve(resolved, reserves, RESERVE_DATES)
-    rows = _with_checkouts(tables, rows, None, _few_items(tables, courses, reserves))
+    rows = _with_checkouts(tables, rows, None, _few_items(courses, reserves))
     total = _total(F.col("checkouts"))
     if not (by_code or is_on(show_historical_checkouts)):
         total = F.when(F.col("__current"), total).otherwise(0)
@@ -163,17 +162,37 @@ def _names_term(term_name: str | None) -> bool:
     return term_name is not None and term_name != ""
 
 
+@dataclass(frozen=True)
+class _Courses:
+    rows: DataFrame
+    filtered: bool
+    few: bool
+
+
+def _chosen(
+    tables: Tables,
+    exclusions: str | None,
+    course_codes: str | DataFrame | None = None,
+    law_keeps_unnumbered: bool = False,
+) -> _Courses:
+    """The courses a report is about. The filters look at the course number alone, so they
+    may come before terms are found: courses that lend each other a term share the number."""
+    everything = tables["courses"]
+    rows = exclude_courses(everything, exclusions, law_keeps_unnumbered=law_keeps_unnumbered)
+    rows = match_course_codes(rows, course_codes)
+    return _Courses(rows, rows is not everything, is_few(rows))
+
+
 def _resolved(
     tables: Tables,
-    courses: DataFrame,
+    courses: _Courses,
     allowed: Sequence[str] | None = None,
     preferred: str | None = None,
 ) -> DataFrame:
-    # Course filters look at the course number alone, so they may come first: courses
-    # that lend each other a term share the number.
-    return resolve_terms(
-        courses, tables["course_listings"], tables["terms"], allowed, preferred
+    resolved = resolve_terms(
+        courses.rows, tables["course_listings"], tables["terms"], allowed, preferred, courses.few
     )
+    return F.broadcast(resolved) if courses.few else resolved
 
 
 def _allowed_terms(term_name: str | None) -> list[str] | None:
@@ -182,7 +201,7 @@ def _allowed_terms(term_name: str | None) -> list[str] | None:
 
 
 def _resolved_for_term(
-    tables: Tables, courses: DataFrame, term_name: str | None, allowed: Sequence[str] | None
+    tables: Tables, courses: _Courses, term_name: str | None, allowed: Sequence[str] | None
 ) -> DataFrame:
     """Terms of the courses, the named term first; if one is named, courses without any
     allowed term are dropped."""
@@ -203,10 +222,13 @@ def _on_reserve(
     return resolved.join(condensed, "course_listing_id")
 
 
-def _few_items(tables: Tables, courses: DataFrame, reserves: DataFrame) -> DataFrame | None:
+def _few_items(courses: _Courses, reserves: DataFrame) -> DataFrame | None:
     """The items on reserve for the courses, if few: far fewer than are lent, as a rule."""
-    if courses is not tables["courses"]:
-        reserves = reserves.join(courses, "course_listing_id", "left_semi")
+    if courses.filtered:
+        listings = courses.rows.select("course_listing_id")
+        reserves = reserves.join(
+            F.broadcast(listings) if courses.few else listings, "course_listing_id", "left_semi"
+        )
     return few_keys(reserves.select("item_id"))
 
 

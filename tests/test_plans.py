@@ -10,8 +10,8 @@ import __spark_entry__ as entry
 import fixtures
 from shelfmark import plans
 from shelfmark.operators import Window, count_checkouts, date_literal, few_keys, skew_join, term_window
+from shelfmark.operators import joins
 from shelfmark.operators.joins import broadcast_few
-from shelfmark.plans import reserves
 
 QUERIES = entry.queries()
 
@@ -72,8 +72,9 @@ def test_hot_key_is_split_against_a_grouped_side(spark, no_broadcast):
     assert total == sum(n * n for n in counts.values())
 
 
-def test_hot_item_of_a_report_is_split(spark, no_broadcast):
+def test_hot_item_and_course_of_a_report_are_split(spark, no_broadcast, monkeypatch):
     """One item on a third of all reserves, and one course number on a third of courses."""
+    monkeypatch.setattr(joins, "FEW_ROWS", -1)
     small = fixtures.library(spark, "/root/testdata/sf0.001")
     n = 30_000
     ids = spark.range(0, n, 1, 8)
@@ -96,7 +97,8 @@ def test_hot_item_of_a_report_is_split(spark, no_broadcast):
     )
     df = plans.reserves_quarter(library)
     plan = ran(df)
-    assert "SortMergeJoin(skew=true)" in plan
+    split = re.findall(r"SortMergeJoin\(skew=true\) \[(\w+)#", plan)
+    assert {"course_number", "item_id"} <= set(split)
     assert df.count() == n
 
 
@@ -158,10 +160,10 @@ def test_broadcast_hints_depend_on_the_count(spark):
     assert hinted not in logical(broadcast_few(keys, 99))
 
 
-def test_reports_without_the_key_filter_are_the_same(spark, sf_small, monkeypatch):
+def test_reports_without_checked_broadcasts_are_the_same(spark, sf_small, monkeypatch):
     library = fixtures.library(spark, sf_small)
     with_filter = plans.reserves_quarter(library, term_name="1996 Q3").collect()
-    monkeypatch.setattr(reserves, "few_keys", lambda keys: None)
+    monkeypatch.setattr(joins, "FEW_ROWS", -1)
     without = plans.reserves_quarter(library, term_name="1996 Q3").collect()
     assert with_filter == without
 
