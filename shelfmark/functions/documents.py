@@ -60,10 +60,14 @@ def with_document_fields(
 
 def explode_elements(df: DataFrame, elements: str, fields: Iterable[str]) -> DataFrame:
     """One row per element of an array column: the other columns, the element's ``fields``
-    and its 1-based ``ordinality``. Rows without the array, or with an empty one, vanish."""
+    and its 1-based ``ordinality``. Rows without the array, or with an empty one, vanish.
+
+    They are dropped after the explode: for a plain one Spark first filters by the array's
+    size, and to do so parses every document a second time.
+    """
     others = [c for c in df.columns if c != elements]
-    exploded = df.select(*others, F.posexplode(elements).alias("_pos", "_element"))
-    return exploded.select(
+    exploded = df.select(*others, F.posexplode_outer(elements).alias("_pos", "_element"))
+    return exploded.where(F.col("_pos").isNotNull()).select(
         *others,
         *(F.col(f"_element.{f}").alias(f) for f in fields),
         (F.col("_pos") + 1).cast("bigint").alias("ordinality"),

@@ -6,8 +6,7 @@ from shelfmark.operators.joins import (
 )
 from shelfmark.operators.loans import count_checkouts, count_checkouts_per_window, count_loans
 from shelfmark.operators.records import (
-    explode_notes, item_facts, item_notes, wide_instances, wide_items, with_noted_items_only,
-    with_titles,
+    explode_notes, item_facts, item_notes, wide_instances, wide_items, with_titles,
 )
 from shelfmark.operators.result import conform, ordered
 from shelfmark.operators.terms import PERMANENT, Window, date_literal, resolve_terms, term_window
@@ -18,5 +17,5 @@ __all__ = [
     "explode_notes", "few_keys", "is_few", "is_on", "item_facts", "item_notes", "keep_keys",
     "lookup_names", "match_course_codes",
     "ordered", "resolve_terms", "skew_join", "term_window", "wide_instances", "wide_items",
-    "with_noted_items_only", "with_titles",
+    "with_titles",
 ]

@@ -36,14 +36,12 @@ def skew_join(
 
 
 def is_few(df: DataFrame, limit: int | None = None) -> bool:
-    """Whether there are at most ``limit`` rows, by default ``FEW_ROWS``. Counts at once, and
-    no further than that.
+    """Whether there are at most ``limit`` rows, by default ``FEW_ROWS``. Counts at once.
 
     Spark's own estimate of a filtered or joined table's size is far too high to let it
     broadcast one; this is the check that allows a hint. Meant for narrow rows.
     """
-    limit = FEW_ROWS if limit is None else limit
-    return df.limit(limit + 1).count() <= limit
+    return df.count() <= (FEW_ROWS if limit is None else limit)
 
 
 def broadcast_few(df: DataFrame, limit: int | None = None) -> DataFrame:
@@ -52,9 +50,15 @@ def broadcast_few(df: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def few_keys(keys: DataFrame, limit: int | None = None) -> DataFrame | None:
-    """The distinct keys marked for broadcast if they are few, else None."""
-    distinct = keys.distinct()
-    return F.broadcast(distinct) if is_few(distinct, limit) else None
+    """The distinct keys of a one-column table, marked for broadcast if few, else None.
+
+    The check is a sketch of fixed size per task, right to a few percent, so that many keys
+    are found to be many without a shuffle of them.
+    """
+    (column,) = keys.columns
+    about = keys.agg(F.approx_count_distinct(column)).first()[0]
+    few = about <= (FEW_ROWS if limit is None else limit)
+    return F.broadcast(keys.distinct()) if few else None
 
 
 def keep_keys(df: DataFrame, keys: DataFrame | None) -> DataFrame:

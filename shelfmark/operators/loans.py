@@ -46,11 +46,11 @@ def count_checkouts_per_window(
         checkouts = checkouts.where(within_midnights(moment, outer.start, outer.end))
     # A loan is inside [start, end] exactly if first_day >= start and last_day <= end:
     # past midnight it is already outside a window that ends on that day.
-    at_midnight = moment == F.date_trunc("day", moment)
     daily = (
         checkouts.select(
             "item_id", "__id", first_day.alias("first_day"),
-            F.when(at_midnight, first_day).otherwise(F.date_add(first_day, 1)).alias("last_day"),
+            F.when(moment == first_day, first_day).otherwise(F.date_add(first_day, 1))
+            .alias("last_day"),
         )
         .groupBy("item_id", "first_day", "last_day")
         .agg(F.count("__id").alias("n"))

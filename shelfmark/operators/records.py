@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions import (
-    Elements, as_boolean, as_timestamp, as_uuid, document_schema, explode_elements,
-    with_document_fields,
+    Elements, as_boolean, as_timestamp, as_uuid, explode_elements, with_document_fields,
 )
 from shelfmark.operators.joins import keep_keys, lookup_names
 from shelfmark.operators.result import conform
@@ -181,17 +180,19 @@ FALSE_BY_DEFAULT = ("previously_held", "discovery_suppress", "staff_suppress", "
 
 
 def wide_items(
-    tables: Tables, columns: Sequence[str] | None = None, only: DataFrame | None = None
+    tables: Tables, columns: Sequence[str] | None = None, only: DataFrame | None = None,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """Item rows with document fields and lookup names; ``columns`` cuts the work.
 
     Only the wanted columns' sources are touched: the flat table is joined, the document
     parsed and a lookup joined only if some wanted column comes from there. ``only`` may
     name the few items that matter; the documents of the others are not parsed.
+    ``carried`` names columns that the raw records have in addition, to be passed through.
     """
     columns = list(columns or [name for name, _ in ITEM_SCHEMA])
     if "item_ext" in tables:
-        return keep_keys(tables["item_ext"], only).select(*columns)
+        return keep_keys(tables["item_ext"], only).select(*columns, *carried)
 
     named = {c: ITEM_NAMES[c] for c in columns if c in ITEM_NAMES}
     needed = dict.fromkeys([*columns, "item_id", *(key for _, key in named.values())])
@@ -200,17 +201,19 @@ def wide_items(
     keys = [c for c in needed if c in ITEM_KEYS]
 
     items = keep_keys(tables["item_records"].select(
-        *(F.col(ITEM_KEYS[c]).alias(c) for c in keys), *(["jsonb"] if paths else [])
+        *(F.col(ITEM_KEYS[c]).alias(c) for c in keys), *carried, *(["jsonb"] if paths else [])
     ), only)
     if paths:
-        items = _typed(with_document_fields(items, "jsonb", paths, keys), ITEM_SCHEMA, paths)
+        fields = with_document_fields(items, "jsonb", paths, [*keys, *carried])
+        items = _typed(fields, ITEM_SCHEMA, paths)
     if flat:
         table = keep_keys(tables["items"].select(
             F.col("id").alias("item_id"), *(F.col(s).alias(c) for c, s in flat.items())
         ), only)
         items = items.join(table, "item_id", "left")
     items = lookup_names(items, [(tables[t], key, name) for name, (t, key) in named.items()])
-    types = dict(ITEM_SCHEMA)
+    types = {**dict(items.dtypes), **dict(ITEM_SCHEMA)}
+    columns = [*columns, *carried]
     return conform(items.select(*columns), [(c, types[c]) for c in columns])
 
 
@@ -282,18 +285,6 @@ def item_notes(tables: Tables) -> DataFrame:
     return notes.select(F.col("id").alias("item_id"), "note")
 
 
-def with_noted_items_only(tables: Tables, wanted: Callable[[Column], Column]) -> Tables:
-    """A registry whose raw item records are those with some ``wanted`` note.
-
-    The test reads one row at a time, so the other records are gone before anything is
-    joined or shuffled.
-    """
-    schema = document_schema([Elements("notes", ("note",))])
-    notes = F.from_json("jsonb", schema).getField("notes")
-    records = tables["item_records"].where(F.exists(notes, lambda n: wanted(n["note"])))
-    return tables.with_tables(item_records=records)
-
-
 def with_titles(tables: Tables, items: DataFrame) -> DataFrame:
     """Add ``instance_title`` by way of the holdings; items may lack either."""
     holdings = tables["holdings_ext"].select(

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shelfmark.functions import (
     as_boolean, as_uuid, catalog_link, compose_call_number, concat_present, matches_regex,
 )
 from shelfmark.operators import (
     broadcast_few, conform, explode_notes, item_notes, lookup_names, ordered, skew_join,
-    wide_items, with_noted_items_only, with_titles,
+    wide_items, with_titles,
 )
 from shelfmark.sources import Tables
 
@@ -48,25 +48,29 @@ def class_list(
     The composed call number holds the effective call number twice and no suffix;
     ``fix_duplicate`` puts the suffix in the second place.
     """
-    def wanted(note: Column) -> Column:
-        return matches_regex(note, note_string)
-
-    if "item_notes" not in tables and "item_ext" not in tables:
-        tables = with_noted_items_only(tables, wanted)
-    notes = item_notes(tables).where(wanted(F.col("note")))
     second = "effective_call_number_suffix" if fix_duplicate else "effective_call_number"
     parts = [
         "effective_call_number_prefix", "effective_call_number", second, "volume", "copy_number",
     ]
-    items = wide_items(tables, list(dict.fromkeys([
+    columns = list(dict.fromkeys([
         "item_id", "barcode", "holdings_record_id", "effective_location_id",
         "effective_location_name", *parts,
-    ])))
+    ]))
+    wanted = matches_regex(F.col("note"), note_string)
+    if "item_notes" in tables or "item_ext" in tables:
+        notes = item_notes(tables).where(wanted)
+        noted = skew_join(notes, wide_items(tables, columns), ["item_id"], "inner")
+    else:
+        # Both come from the raw records: the matching notes are found first, row by row,
+        # and only their items are read on and joined.
+        records = tables["item_records"]
+        notes = explode_notes(records, "notes", ["note"], records.columns).where(wanted)
+        noted = wide_items(tables.with_tables(item_records=notes), columns, carried=["note"])
     codes = tables["locations_libraries"].select(
         F.col("location_id").alias("effective_location_id"), "location_code"
     )
     rows = (
-        with_titles(tables, skew_join(notes, items, ["item_id"], "inner"))
+        with_titles(tables, noted)
         .join(codes, "effective_location_id", "left")
         .select(
             "barcode", "location_code", "effective_location_name",
@@ -148,4 +152,7 @@ def note_type_items(
         "former_ids", "call_number", "shelving_order", "material_type", "title",
         "note_type_name", "note", as_boolean(F.col("staffOnly")), "ordinality",
     )
-    return ordered(conform(rows, NOTE_TYPE_SCHEMA), ["item_location", "shelving_order"], sort)
+    return ordered(
+        conform(rows, NOTE_TYPE_SCHEMA), ["item_location", "shelving_order"], sort,
+        spread_by=["item_hrid", "note_ordinality", "note"],
+    )

@@ -149,8 +149,8 @@ def test_named_term_reaches_the_scan(spark, stored_loans):
 
 def test_broadcast_hints_depend_on_the_count(spark):
     keys = spark.range(100).select(F.col("id").alias("k"))
-    assert few_keys(keys, limit=99) is None
-    assert few_keys(keys.unionAll(keys), limit=100).count() == 100
+    assert few_keys(keys, limit=50) is None
+    assert few_keys(keys.unionAll(keys), limit=150).count() == 100
     hinted = "ResolvedHint (strategy=broadcast)"
 
     def logical(df):
