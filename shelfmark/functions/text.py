@@ -38,7 +38,7 @@ def matches_regex(text: Column, pattern: str | None) -> Column:
     """Case-insensitive regular expression search; a NULL pattern matches nothing."""
     if pattern is None:
         return F.lit(False)
-    return text.rlike("(?i)" + pattern)
+    return text.rlike("(?iu)" + pattern)
 
 
 def compose_call_number(*parts: Column) -> Column:

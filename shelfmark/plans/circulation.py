@@ -104,9 +104,10 @@ def zero_use_items(
     location_id: str = ZERO_USE_LOCATION,
 ) -> DataFrame:
     """Current items of a location without a check-in between two dates."""
-    holdings = tables["holdings_history"].where(
-        F.col("permanent_location_id") == location_id
-    ).select(F.col("id").alias("holdings_record_id"), "instance_id")
+    holdings = broadcast_few(
+        tables["holdings_history"].where(F.col("permanent_location_id") == location_id.lower())
+        .select(F.col("id").alias("holdings_record_id"), "instance_id")
+    )
     items = tables["item_history"].where(F.col("__current")).select(
         F.col("id").alias("item_id"), "holdings_record_id"
     ).join(holdings, "holdings_record_id")

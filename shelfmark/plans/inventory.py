@@ -94,9 +94,10 @@ def collection_inventory(
     instances = tables["instances"].select(
         F.col("id").alias("instance_id"), "index_title", F.col("hrid").alias("instance_hrid")
     )
+    # Distinct before the join as well as after it: copies would multiply the items.
     contributors = tables["instance_contributors"].where(
         F.col("contributor_is_primary")
-    ).select("instance_id", "contributor_name")
+    ).select("instance_id", "contributor_name").distinct()
     items = tables["items"].select(
         "id", "barcode", "volume", "copy_number", "holdings_record_id", "effective_location_id"
     )
@@ -126,9 +127,10 @@ def note_type_items(
         tables["item_records"], "notes", ["note", "staffOnly", "itemNoteTypeId"],
         ["holdingsrecordid", "effectivelocationid", "materialtypeid"], paths,
     ).withColumn("note_type", as_uuid(F.col("itemNoteTypeId")))
-    notes = notes.where(F.col("note_type") == note_type_id)
+    wanted = note_type_id.lower()
+    notes = notes.where(F.col("note_type") == wanted)
     # All notes that are left share the one key, so this join must not shuffle by it.
-    types = broadcast_few(tables["item_note_types"].where(F.col("id") == note_type_id).select(
+    types = broadcast_few(tables["item_note_types"].where(F.col("id") == wanted).select(
         F.col("id").alias("note_type"), F.col("name").alias("note_type_name")
     ))
     holdings = tables["holdings"].select(

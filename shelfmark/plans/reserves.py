@@ -224,11 +224,9 @@ def _on_reserve(
 
 def _few_items(courses: _Courses, reserves: DataFrame) -> DataFrame | None:
     """The items on reserve for the courses, if few: far fewer than are lent, as a rule."""
-    if courses.filtered:
-        listings = courses.rows.select("course_listing_id")
-        reserves = reserves.join(
-            F.broadcast(listings) if courses.few else listings, "course_listing_id", "left_semi"
-        )
+    if courses.filtered and courses.few:
+        listings = F.broadcast(courses.rows.select("course_listing_id"))
+        reserves = reserves.join(listings, "course_listing_id", "left_semi")
     return few_keys(reserves.select("item_id"))
 
 

@@ -18,6 +18,12 @@ def rows(df):
     return [tuple(r) for r in df.collect()]
 
 
+def test_patterns_ignore_case_beyond_ascii(spark, library):
+    notes = spark.createDataFrame([("i1", "\u00c9tude")], "item_id string, note string")
+    df = plans.class_list(library.with_tables(item_notes=notes), "\u00e9tude")
+    assert [r.item_note for r in df.collect()] == ["\u00c9tude"]
+
+
 def one(df, **where):
     found = [r for r in df.collect() if all(r[k] == v for k, v in where.items())]
     assert len(found) == 1
@@ -67,6 +73,7 @@ def test_note_type_ids_match_in_any_case(library):
         (*shared, "Class of Latin", "false", 1), (*shared, "latin again", None, 3),
     ]
     assert df.dtypes == list(plans.inventory.NOTE_TYPE_SCHEMA)
+    assert rows(plans.note_type_items(library, "ABC-1")) == rows(df)
 
 
 def test_default_note_type(library):
