@@ -61,10 +61,10 @@ def reserves_permanent(
     """Checkouts between two dates for courses whose term is the permanent one."""
     courses = _chosen(tables, exclusions, course_codes)
     resolved = _resolved(tables, courses).where(F.col("course_term") == PERMANENT)
-    reserves = current_only(tables["reserves"], show_historical)
+    reserves = _of_courses(courses, current_only(tables["reserves"], show_historical))
     window = Window(date_literal(start_date), date_literal(end_date))
     rows = _on_reserve(resolved, reserves, RESERVE_DATES)
-    rows = _with_checkouts(tables, rows, window, _few_items(courses, reserves))
+    rows = _with_checkouts(tables, rows, window, _few_items(reserves))
     return _dated_result(rows, _total(F.col("checkouts")), sort)
 
 
@@ -80,10 +80,10 @@ def reserves_quarter(
     """Checkouts within a named term's dates, or two given dates, for all courses."""
     courses = _chosen(tables, exclusions)
     resolved = _resolved_for_term(tables, courses, term_name, _allowed_terms(term_name))
-    reserves = current_only(tables["reserves"], show_historical)
+    reserves = _of_courses(courses, current_only(tables["reserves"], show_historical))
     window = term_window(tables["terms"], term_name, start_date, end_date)
     rows = _on_reserve(resolved, reserves)
-    rows = _with_checkouts(tables, rows, window, _few_items(courses, reserves))
+    rows = _with_checkouts(tables, rows, window, _few_items(reserves))
     result = rows.withColumn("checkout_count", _total(F.col("checkouts")))
     result = conform(result.select(*(n for n, _ in QUARTER_SCHEMA)), QUARTER_SCHEMA)
     return ordered(result, ["course_term"], sort)
@@ -112,9 +112,9 @@ def reserves_quarter_course(
         F.coalesce("term_start", window.start).alias("window_start"),
         F.coalesce("term_end", window.end).alias("window_end"),
     )
-    reserves = current_only(tables["reserves"], show_historical)
+    reserves = _of_courses(courses, current_only(tables["reserves"], show_historical))
     rows = _on_reserve(resolved, reserves, RESERVE_DATES)
-    items = _few_items(courses, reserves)
+    items = _few_items(reserves)
     # The count columns are always positive. Asking for them here keeps them in this use of
     # the rows too, and with the same columns as below Spark runs the shuffles once.
     wanted = rows.where((F.col("course_versions") > 0) & (F.col("reserve_versions") > 0))
@@ -149,9 +149,11 @@ def reserves_listings_only(
     if one_term:
         resolved = resolved.where(F.col("course_term").isNotNull())
     undated = tables["reserves"].where(F.col("start_date").isNull())
-    reserves = current_only(undated, by_code or is_on(show_historical_reserves))
+    reserves = _of_courses(
+        courses, current_only(undated, by_code or is_on(show_historical_reserves))
+    )
     rows = _on_reserve(resolved, reserves, RESERVE_DATES)
-    rows = _with_checkouts(tables, rows, None, _few_items(courses, reserves))
+    rows = _with_checkouts(tables, rows, None, _few_items(reserves))
     total = _total(F.col("checkouts"))
     if not (by_code or is_on(show_historical_checkouts)):
         total = F.when(F.col("__current"), total).otherwise(0)
@@ -216,17 +218,22 @@ def _on_reserve(
 ) -> DataFrame:
     """Courses with their reserved items; reserves are condensed to the ``kept`` columns."""
     condensed = count_versions(
-        reserves.where(F.col("item_id").isNotNull()),
-        ["course_listing_id", "item_id", *kept], "reserve_versions",
+        reserves, ["course_listing_id", "item_id", *kept], "reserve_versions"
     )
     return resolved.join(condensed, "course_listing_id")
 
 
-def _few_items(courses: _Courses, reserves: DataFrame) -> DataFrame | None:
-    """The items on reserve for the courses, if few: far fewer than are lent, as a rule."""
-    if courses.filtered and courses.few:
-        listings = F.broadcast(courses.rows.select("course_listing_id"))
-        reserves = reserves.join(listings, "course_listing_id", "left_semi")
+def _of_courses(courses: _Courses, reserves: DataFrame) -> DataFrame:
+    """Reserves with an item, cut to the chosen courses' listings if a few were chosen."""
+    reserves = reserves.where(F.col("item_id").isNotNull())
+    if not (courses.filtered and courses.few):
+        return reserves
+    listings = F.broadcast(courses.rows.select("course_listing_id"))
+    return reserves.join(listings, "course_listing_id", "left_semi")
+
+
+def _few_items(reserves: DataFrame) -> DataFrame | None:
+    """The items on reserve, if few: far fewer than are lent, as a rule."""
     return few_keys(reserves.select("item_id"))
 
 
