@@ -75,13 +75,14 @@ TERMS = View("nation", {
     "end_date": f"case {_NO_TERM_DATE} else make_date({_TERM_YEAR}, {_TERM_MONTH.format(3)}, 28) end",
 })
 
+# Every 13th listing has an id that no course names.
 COURSE_LISTINGS = View("customer", {
-    "id": _text("c_custkey"),
+    "id": f"case when c_custkey % 13 = 12 then 'other ' else '' end || {_text('c_custkey')}",
     "term_id": (
         "case when c_custkey % 11 = 10 then cast(null as string) when c_custkey % 3 = 0 then '0' "
         f"else {_text('c_custkey % 25')} end"
     ),
-}, where="c_custkey % 13 <> 12")
+})
 
 _COURSE = {
     "id": _text("c_custkey"),
@@ -96,6 +97,7 @@ _COURSE = {
         f"{_text('c_nationkey')} end"
     ),
 }
+# Besides all current courses, some have an earlier version.
 COURSES = View(
     "customer", {**_COURSE, "__current": "true"},
     also=View("customer", {**_COURSE, "__current": "false"}, where="c_custkey % 40 = 7"),
@@ -196,8 +198,9 @@ ITEM_RECORDS = View("part", {
 
 _BARCODE = f"case when p_partkey % 29 = 28 then cast(null as string) else 'B' || {_PART} end"
 
+# Some flat items and instance documents belong to no record.
 ITEMS = View("part", {
-    "id": _PART,
+    "id": f"case when p_partkey % 37 = 36 then 'other ' else '' end || {_PART}",
     "hrid": f"'it' || {_PART}",
     "barcode": _BARCODE,
     "enumeration": f"'e' || {_SIZE}",
@@ -205,8 +208,9 @@ ITEMS = View("part", {
     "copy_number": f"'c' || {_text('p_partkey % 3')}",
     "holdings_record_id": _text("p_partkey % 10"),
     "effective_location_id": _text("p_partkey % 5"),
-}, where="p_partkey % 37 <> 36")
+})
 
+# Every item has a former version with another barcode.
 ITEM_HISTORY = View(
     "part", {
         "id": _PART, "barcode": _BARCODE, "__current": "p_partkey % 31 <> 30",
@@ -215,7 +219,7 @@ ITEM_HISTORY = View(
     also=View("part", {
         "id": _PART, "barcode": f"'old' || {_PART}", "__current": "false",
         "holdings_record_id": _text("p_partkey % 10"),
-    }, where="p_partkey % 50 = 8"),
+    }),
 )
 
 HOLDINGS = View("supplier", {
@@ -248,9 +252,10 @@ _INSTANCE_DOCUMENT = (
     + """ || '}'"""
 )
 
-INSTANCE_RECORDS = View(
-    "customer", {"id": _CUST, "jsonb": _INSTANCE_DOCUMENT}, where="c_custkey % 19 <> 18"
-)
+INSTANCE_RECORDS = View("customer", {
+    "id": f"case when c_custkey % 19 = 18 then 'other ' else '' end || {_CUST}",
+    "jsonb": _INSTANCE_DOCUMENT,
+})
 
 INSTANCES = View("customer", {
     "id": _CUST,
