@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfmark.functions import (
     Elements, as_boolean, as_timestamp, as_uuid, explode_elements, with_document_fields,
 )
+from shelfmark.operators.courses import count_versions
 from shelfmark.operators.joins import keep_keys, lookup_names
 from shelfmark.operators.result import conform
 from shelfmark.sources import Tables
@@ -298,20 +299,14 @@ def with_titles(tables: Tables, items: DataFrame) -> DataFrame:
 
 def item_facts(tables: Tables, only: DataFrame | None = None) -> DataFrame:
     """``item_id, item_barcode, call_number, instance_title`` once each, with the number
-    of rows behind them.
-
-    Partitioned by item before grouping, so that the grouping and a following join on
-    the item share one shuffle.
-    """
+    of rows behind them. Copies are combined before they are shuffled."""
     items = wide_items(
         tables, ["item_id", "barcode", "effective_call_number", "holdings_record_id"], only
     ).select(
         "item_id", "holdings_record_id", F.col("barcode").alias("item_barcode"),
         F.col("effective_call_number").alias("call_number"),
     )
-    return (
-        with_titles(tables, items)
-        .repartition("item_id")
-        .groupBy("item_id", "item_barcode", "call_number", "instance_title")
-        .agg(F.count("*").alias("item_versions"))
+    return count_versions(
+        with_titles(tables, items),
+        ["item_id", "item_barcode", "call_number", "instance_title"], "item_versions",
     )

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions import matches_regex, within_midnights
 from shelfmark.operators import (
-    broadcast_few, conform, count_loans, date_literal, few_keys, keep_keys, ordered, wide_items,
-    with_titles,
+    broadcast_few, conform, count_loans, date_literal, few_keys, keep_keys, ordered, skew_join,
+    wide_items, with_titles,
 )
 from shelfmark.operators.loans import WAS_AVAILABLE, WAS_CHECKED_OUT
 from shelfmark.sources import Tables
@@ -91,7 +91,7 @@ def internal_use_by_item(tables: Tables, barcodes: DataFrame | None = None) -> D
     """
     counts = _check_ins(tables, WAS_AVAILABLE).groupBy("item_id").agg(F.count("id").alias("n"))
     rows = (
-        _current_items(tables, barcodes).join(counts, "item_id", "left")
+        skew_join(_current_items(tables, barcodes), counts, ["item_id"])
         .groupBy("barcode").agg(F.coalesce(F.sum("n"), F.lit(0)))
     )
     return conform(rows, [("barcode", "string"), *INTERNAL_USE_SCHEMA])
