@@ -171,3 +171,23 @@ def test_reports_without_checked_broadcasts_are_the_same(spark, sf_small, monkey
 def test_loans_are_scanned_once_per_report(spark, sf_small):
     plan = ran(QUERIES["reserves_quarter_course_history"](spark, sf_small))
     assert plan.count("FileScan parquet [l_") == 1
+
+
+@pytest.mark.parametrize("name", ["circulation_history", "internal_use_count"])
+def test_one_barcode_shuffles_no_check_in(name, spark, sf_small, no_broadcast):
+    assert "hashpartitioning" not in ran(QUERIES[name](spark, sf_small))
+
+
+@pytest.mark.parametrize("name, parses", [
+    ("item_ext", 1), ("instance_ext", 1), ("item_circulation_notes", 1), ("note_type_items", 1),
+    ("class_list", 2),  # the notes of all items, the other fields of those that match
+])
+def test_documents_are_parsed_once(name, parses, spark, sf_small):
+    assert ran(QUERIES[name](spark, sf_small)).count("from_json(") == parses
+
+
+def test_few_course_codes_cut_the_reserves(spark, sf_small, no_broadcast):
+    """The reserves are cut to the chosen courses' listings before their shuffle."""
+    plan = ran(QUERIES["reserves_permanent_codes"](spark, sf_small))
+    semi = r"BroadcastHashJoin \[course_listing_id#\d+\], \[course_listing_id#\d+\], LeftSemi"
+    assert re.search(semi, plan)
