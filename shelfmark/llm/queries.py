@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfmark.llm.exact_dedup import exact_duplicates, text_digest
+from shelfmark.llm.near_dup import Settings as NearSettings, near_duplicates
 from shelfmark.llm.packing import pack_documents
 from shelfmark.llm.url_filter import RULES, SOFT_HITS, STRICT, VOCABULARY, filter_urls
 
@@ -31,10 +32,18 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), carry={"text_sha256": digest})
 
 
+def near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op10: every document with its component of near duplicates, on three-word shingles."""
+    return near_duplicates(
+        table(spark, sf_dir, "documents"), settings=NearSettings(words=3, percent=85)
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": url_rules,
     "op5_packing": packing,
     "op8_exact_dedup": exact_dedup,
+    "op10_near_dup": near_dup,
 }
 
 def _lower(text: str) -> str:
