@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfmark.llm import toxicity
 from shelfmark.llm.exact_dedup import exact_duplicates, text_digest
 from shelfmark.llm.near_dup import Settings as NearSettings, near_duplicates
 from shelfmark.llm.packing import pack_documents
@@ -16,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op1: the toxicity of every document, learned from the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op4: a verdict on the url of every page."""
     return filter_urls(table(spark, sf_dir, "pages"))
@@ -40,6 +47,7 @@ def near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxic_scores,
     "op4_url_filter": url_rules,
     "op5_packing": packing,
     "op8_exact_dedup": exact_dedup,
