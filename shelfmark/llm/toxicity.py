@@ -15,6 +15,7 @@ default score weights are used. Only id and text are read.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
@@ -35,6 +36,8 @@ SAMPLE_ROWS = 12_000
 #: Learned terms, at most, and the least toxic texts of the sample that hold one.
 LEARNED_TERMS = 5_000
 LEAST_TEXTS = 2
+LEAST_RATIO = 4
+SHORTEST_START, LONGEST_START = 4, 8
 THRESHOLD = 0.3
 
 # A starting lexicon with weights, and phrases in which a term is harmless.
@@ -65,7 +68,6 @@ _FOLD = str.maketrans(
 )
 _EDGE = re.compile(r"[@$!|]+(?!\w)|(?<!\w)[!|]+")
 _WORD = re.compile(r"[^\W_]+")
-_LONGEST_START = 7
 
 
 def fold(text: str) -> str:
@@ -110,7 +112,10 @@ class Lexicon:
 
 
 def features(text: str, automaton: ahocorasick.Automaton) -> tuple[float, float, float]:
-    """Logarithms of the weight found, of that per hundred words, and of the distinct terms."""
+    """Logarithms of the weight found, of that per hundred words, and of the distinct terms.
+
+    A term met again adds less each time.
+    """
     folded = fold(text)
     found: list[tuple[int, int, float]] = []
     harmless: list[tuple[int, int]] = []
@@ -132,72 +137,87 @@ def features(text: str, automaton: ahocorasick.Automaton) -> tuple[float, float,
         ]
     if not found:
         return 0.0, 0.0, 0.0
-    by_start: dict[int, float] = {}
-    for start, _, weight in found:  # of terms that start together the heaviest counts
-        by_start[start] = max(weight, by_start.get(start, 0.0))
-    total = sum(by_start.values())
-    words = max(1, folded.count(" ") + 1)
-    distinct = len({folded[start:end] for start, end, _ in found})
-    return math.log1p(total), math.log1p(100 * total / words), math.log1p(distinct)
+    by_start: dict[int, tuple[float, str]] = {}
+    for start, end, weight in found:  # of terms that start together the heaviest counts
+        by_start[start] = max((weight, folded[start:end]), by_start.get(start, (0.0, "")))
+    times = Counter(by_start.values())
+    total = sum(weight * (1 + math.log(count)) for (weight, _), count in times.items())
+    words = folded.count(" ") + 1
+    return math.log1p(total), math.log1p(100 * total / words), math.log1p(len(times))
 
 
 def words_of(text: str) -> set[str]:
     return set(_WORD.findall(fold(text)))
 
 
-def learn_lexicon(toxic: list[set[str]], clean: Counter[str], clean_texts: int) -> Lexicon:
+Term = tuple[str, str]
+
+
+def terms_of(words: Iterable[str]) -> set[Term]:
+    """Whole words, and their beginnings of four to eight letters."""
+    found: set[Term] = set()
+    for word in words:
+        found.add(("word", word))
+        for size in range(SHORTEST_START, min(LONGEST_START, len(word)) + 1):
+            found.add(("start", word[:size]))
+    return found
+
+
+def candidates(toxic: list[set[str]]) -> dict[Term, set[int]]:
+    """Terms of at least ``LEAST_TEXTS`` toxic texts, with the numbers of these texts."""
+    holders: dict[Term, set[int]] = {}
+    for number, words in enumerate(toxic):
+        for term in terms_of(words):
+            holders.setdefault(term, set()).add(number)
+    return {term: texts for term, texts in holders.items() if len(texts) >= LEAST_TEXTS}
+
+
+def learn_lexicon(
+    holders: dict[Term, set[int]], toxic_texts: int, clean: dict[Term, int], clean_texts: int
+) -> Lexicon:
     """Terms that mark toxic texts, found by greedy cover.
 
-    ``toxic`` has the words of each toxic text, ``clean`` in how many clean texts a word
-    is. A candidate is a whole word or a beginning of four to seven letters, at least
-    eight times as common in toxic texts. The one that marks most texts not yet marked
-    enough comes first; a text is marked enough by three terms.
+    ``holders`` has the toxic texts and ``clean`` the number of clean texts with each
+    term. A term must be four times as common in toxic texts; its weight is the logarithm
+    of that ratio, less for terms of few texts. The term that marks most texts not yet marked enough comes first; a
+    text is marked enough by three terms.
     """
     lexicon = Lexicon.fixed()
-    if not toxic or not clean_texts:
-        return lexicon
-    holders: dict[tuple[str, str], set[int]] = {}
-    for number, words in enumerate(toxic):
-        for word in words:
-            holders.setdefault(("word", word), set()).add(number)
-            for size in range(4, min(_LONGEST_START, len(word)) + 1):
-                holders.setdefault(("start", word[:size]), set()).add(number)
-    clean_starts: Counter[str] = Counter()
-    for word, times in clean.items():
-        for size in range(4, min(_LONGEST_START, len(word)) + 1):
-            clean_starts[word[:size]] += times
-    weights: dict[tuple[str, str], float] = {}
-    for (kind, term), texts in holders.items():
-        if len(texts) < LEAST_TEXTS:
-            continue
-        among_clean = clean[term] if kind == "word" else clean_starts[term]
-        ratio = ((len(texts) + 0.5) / (len(toxic) + 1)) / ((among_clean + 0.5) / (clean_texts + 1))
-        if ratio >= 8:
-            weights[kind, term] = math.log(ratio)
-    marks = [0] * len(toxic)
-    waiting = sorted(weights, key=lambda key: (-len(holders[key]), len(key[1]), key))
-    picked: list[tuple[str, str]] = []
-    # A term's gain only shrinks, so a queue by last known gain needs few looks.
-    import heapq
+    weights: dict[Term, float] = {}
+    for term, texts in holders.items():
+        often = (len(texts) + 0.5) / (toxic_texts + 1)
+        ratio = often * (clean_texts + 1) / (clean.get(term, 0) + 0.5)
+        if ratio >= LEAST_RATIO:
+            weights[term] = math.log(ratio) * len(texts) / (len(texts) + 2)
+    marks = [0] * toxic_texts
+    explained: dict[str, set[int]] = {}  # texts with a picked term of this beginning
+
+    def place(term: Term, gain: int) -> tuple[float, bool, int, Term]:
+        """Of terms with the same gain whole words come first, then long beginnings."""
+        return (-gain * weights[term], term[0] != "word", -len(term[1]), term)
 
-    queue = [(-len(holders[key]) * weights[key], place, key) for place, key in enumerate(waiting)]
+    # A term's gain only shrinks, so a queue by last known gain needs few looks.
+    queue = [place(term, len(holders[term])) for term in weights]
     heapq.heapify(queue)
-    while queue and len(picked) < LEARNED_TERMS:
-        _, place, key = heapq.heappop(queue)
-        gain = sum(marks[text] < 3 for text in holders[key])
+    picked = 0
+    while queue and picked < LEARNED_TERMS:
+        last_known, _, _, term = heapq.heappop(queue)
+        kind, letters = term
+        texts = holders[term] - explained.get(letters, set())
+        gain = sum(marks[text] < 3 for text in texts)
         if gain < LEAST_TEXTS:
             continue
-        if queue and gain * weights[key] < -queue[0][0]:
-            heapq.heappush(queue, (-gain * weights[key], place, key))
+        if gain * weights[term] < -last_known:
+            heapq.heappush(queue, place(term, gain))
             continue
-        if any(kind == "start" and key[1].startswith(term) for kind, term in picked):
+        if any(letters[:size] in lexicon.starts for size in range(SHORTEST_START, len(letters))):
             continue
-        picked.append(key)
-        for text in holders[key]:
+        (lexicon.words if kind == "word" else lexicon.starts)[letters] = weights[term]
+        picked += 1
+        for size in range(SHORTEST_START, len(letters) + 1):
+            explained.setdefault(letters[:size], set()).update(holders[term])
+        for text in texts:
             marks[text] += 1
-    for kind, term in picked:
-        terms = lexicon.words if kind == "word" else lexicon.starts
-        terms[term] = weights[kind, term]
     return lexicon
 
 
@@ -217,9 +237,9 @@ def fit(
 ) -> Model:
     """Learn lexicon and score weights from at most ``sample_rows`` labelled texts.
 
-    The sampled ids are broadcast to the scan, words are counted in the tasks, and the
-    driver gets the distinct words of the sampled toxic texts, the counts of these words in
-    clean texts, and three numbers for each sampled text.
+    The sampled ids are broadcast to the scan. The driver gets the distinct words of the
+    sampled toxic texts, counts of their terms in the clean ones, made in the tasks, and
+    three numbers for each sampled text.
     """
     ids = training_labels(labels, label, FOLDS, FOLD, sample_rows).withColumnRenamed(
         "doc_id", "_id"
@@ -232,25 +252,11 @@ def fit(
     def words(texts: pd.Series) -> pd.Series:
         return texts.map(lambda text: sorted(words_of(text)))
 
-    spoken = sample.select("label", words("_text").alias("words"))
-    toxic = [set(row.words) for row in spoken.where("label = 1").select("words").toLocalIterator()]
-    counted = spoken.where("label = 0")
-    clean_texts = counted.count()
-    if toxic and clean_texts:
-        starts = docs.sparkSession.createDataFrame(
-            [(start,) for start in sorted({word[:4] for words_ in toxic for word in words_})],
-            "start string",
-        )
-        clean = Counter(dict(
-            counted.select(F.explode("words").alias("word"))
-            .groupBy("word").agg(F.count("*").alias("n"))
-            .withColumn("start", F.left("word", F.lit(4)))
-            .join(F.broadcast(starts), "start", "left_semi")
-            .select("word", "n").toPandas().itertuples(index=False, name=None)
-        ))
-    else:
-        clean = Counter()
-    lexicon = learn_lexicon(toxic, clean, clean_texts)
+    spoken = sample.where("label = 1").select(words("_text").alias("words"))
+    toxic = [set(row.words) for row in spoken.toLocalIterator()]
+    holders = candidates(toxic)
+    clean_texts, clean = clean_counts(sample.where("label = 0"), set(holders))
+    lexicon = learn_lexicon(holders, len(toxic), clean, clean_texts)
 
     rows = sample.select("label", feature_column(lexicon)("_text").alias("x")).select(
         "label", "x.*"
@@ -261,6 +267,22 @@ def fit(
     return Model(lexicon, Logistic.fit(rows[columns].to_numpy(), rows["label"].to_numpy()))
 
 
+def clean_counts(sample: DataFrame, wanted: set[Term]) -> tuple[int, dict[Term, int]]:
+    """The number of texts, and of those with each wanted term, counted in the tasks."""
+
+    @F.pandas_udf("array<string>")
+    def present(texts: pd.Series) -> pd.Series:
+        return texts.map(
+            lambda text: [f"{kind} {term}" for kind, term in terms_of(words_of(text)) & wanted]
+        )
+
+    counted = sample.select(F.explode(F.array_append(present("_text"), "")).alias("term"))
+    counts = counted.groupBy("term").agg(F.count("*").alias("n")).toPandas()
+    found = dict(zip(counts["term"], counts["n"], strict=True))
+    texts = found.pop("", 0)
+    return texts, {tuple(term.split(" ", 1)): n for term, n in found.items()}
+
+
 def feature_column(lexicon: Lexicon):
     @F.pandas_udf("total double, dense double, distinct double")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
