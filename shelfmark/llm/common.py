@@ -92,3 +92,27 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 50) ->
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return current.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(roots)
+
+
+def span_text(spans: Column, kinds: list[str]) -> Column:
+    """Spans ``(kind, start, end)`` as ``kind:start:end``, by start, then kind as listed."""
+    rank = F.array(*map(F.lit, kinds))
+    ordered = F.array_sort(F.transform(spans, lambda span: F.struct(
+        span["start"].cast("long").alias("start"), F.array_position(rank, span["kind"]).alias("rank"),
+        span["end"].cast("long").alias("end"), span["kind"].alias("kind"),
+    )))
+    return F.array_join(F.transform(ordered, lambda span: F.concat_ws(
+        ":", span["kind"], span["start"].cast("string"), span["end"].cast("string")
+    )), ",")
+
+
+def span_digest(docs: DataFrame, spans: Column, base: list[str], kinds: list[str]) -> DataFrame:
+    """Counts by base kind, the base spans' SHA-256, and all spans as text, added to ``docs``."""
+    def of(wanted: list[str]) -> Column:
+        return F.filter(spans, lambda span: span["kind"].isin(wanted))
+
+    return docs.select(
+        "doc_id", *(F.size(of([kind])).cast("long").alias(f"n_{kind}") for kind in base),
+        F.sha2(span_text(of(base), kinds), 256).alias("base_sha256"),
+        span_text(spans, kinds).alias("spans"),
+    )

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import toxicity
+from shelfmark.llm import quality, secrets_ledger, toxicity
+from shelfmark.llm.common import span_digest
 from shelfmark.llm.exact_dedup import exact_duplicates, text_digest
 from shelfmark.llm.near_dup import Settings as NearSettings, near_duplicates
 from shelfmark.llm.packing import pack_documents
@@ -33,12 +34,29 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op6: the secrets of every document, by way of a ledger that starts empty."""
+    docs = table(spark, sf_dir, "documents")
+    found, _ = secrets_ledger.scan_documents(docs)
+    kinds = [rule.kind for rule in secrets_ledger.RULES]
+    return span_digest(
+        found.withColumnRenamed("path", "doc_id"), F.col("findings"),
+        list(secrets_ledger.BASE_KINDS), kinds,
+    )
+
+
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op8: every document with the row that stays of its equals."""
     digest = text_digest(F.col("text"))
     return exact_duplicates(table(spark, sf_dir, "documents"), carry={"text_sha256": digest})
 
 
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op9: the quality of every document, learned from positives outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op10: every document with its component of near duplicates, on three-word shingles."""
     return near_duplicates(
@@ -50,7 +68,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxic_scores,
     "op4_url_filter": url_rules,
     "op5_packing": packing,
+    "op6_secret_scan": secret_scan,
     "op8_exact_dedup": exact_dedup,
+    "op9_quality": quality_scores,
     "op10_near_dup": near_dup,
 }
 
