@@ -180,7 +180,7 @@ def fit(
     )
     sample = docs.select(
         F.col(id_col).alias("_id"), whole(F.col(text_col)).alias("_text")
-    ).join(ids, "_id").select("label", feature_column("_text").alias("x")).toPandas()
+    ).join(ids, "_id").select("label", feature_column()("_text").alias("x")).toPandas()
     good = int((sample["label"] == 1).sum())
     prior = estimate_prior(good, len(sample) - good)
     if not good:
@@ -195,9 +195,14 @@ def _in_parts(texts: pd.Series) -> Iterator[np.ndarray]:
         yield features(pa.array(part.to_list(), pa.large_string()))
 
 
-@F.pandas_udf("array<double>")
-def feature_column(texts: pd.Series) -> pd.Series:
-    return pd.Series([row for part in _in_parts(texts) for row in part])
+def feature_column():
+    """A column function: the features of a text."""
+
+    @F.pandas_udf("array<double>")
+    def made(texts: pd.Series) -> pd.Series:
+        return pd.Series([row for part in _in_parts(texts) for row in part])
+
+    return made
 
 
 def score_column(model: Network | float):
