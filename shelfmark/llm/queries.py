@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import quality, secrets_ledger, toxicity
+from shelfmark.llm import pii, quality, secrets_ledger, toxicity
 from shelfmark.llm.common import span_digest
 from shelfmark.llm.exact_dedup import exact_duplicates, text_digest
 from shelfmark.llm.near_dup import Settings as NearSettings, near_duplicates
@@ -24,6 +24,12 @@ def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op3: the personal data of every document."""
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    return span_digest(found, F.col("found"), pii.NAMES, pii.NAMES)
+
+
 def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op4: a verdict on the url of every page."""
     return filter_urls(table(spark, sf_dir, "pages"))
@@ -66,6 +72,7 @@ def near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxic_scores,
+    "op3_pii": personal_data,
     "op4_url_filter": url_rules,
     "op5_packing": packing,
     "op6_secret_scan": secret_scan,
