@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import pii, quality, secrets_ledger, toxicity
+from shelfmark.llm import pii, quality, secrets_ledger, simhash, toxicity
 from shelfmark.llm.common import span_digest
 from shelfmark.llm.exact_dedup import exact_duplicates, text_digest
 from shelfmark.llm.near_dup import Settings as NearSettings, near_duplicates
@@ -24,6 +24,11 @@ def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op2: the fingerprints of every document and its edited text."""
+    return simhash.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op3: the personal data of every document."""
     found = pii.find_pii(table(spark, sf_dir, "documents"))
@@ -72,6 +77,7 @@ def near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxic_scores,
+    "op2_simhash": fingerprints,
     "op3_pii": personal_data,
     "op4_url_filter": url_rules,
     "op5_packing": packing,
