@@ -11,6 +11,7 @@ from shelfmark.llm.common import span_digest
 from shelfmark.llm.exact_dedup import exact_duplicates, text_digest
 from shelfmark.llm.near_dup import Settings as NearSettings, near_duplicates
 from shelfmark.llm.packing import pack_documents
+from shelfmark.llm.pieces import encode_documents
 from shelfmark.llm.url_filter import RULES, SOFT_HITS, STRICT, VOCABULARY, filter_urls
 
 
@@ -56,6 +57,11 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op7: the SentencePiece ids of every document."""
+    return encode_documents(table(spark, sf_dir, "documents"))
+
+
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op8: every document with the row that stays of its equals."""
     digest = text_digest(F.col("text"))
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": url_rules,
     "op5_packing": packing,
     "op6_secret_scan": secret_scan,
+    "op7_sentencepiece": piece_ids,
     "op8_exact_dedup": exact_dedup,
     "op9_quality": quality_scores,
     "op10_near_dup": near_dup,

@@ -1,8 +1,8 @@
-"""Document fingerprints: SimHash over weighted word shingles, and all fingerprints within a
+"""Document fingerprints: SimHash over weighted word pairs, and all fingerprints within a
 Hamming radius by permuted block tables. DataFrame functions only.
 
-A term is a run of three words, or fewer at the end of the text; its weight grows with its
-length, as long words are rare. Every occurrence votes with its weight on each bit.
+A term is a pair of words, or the last word; its weight grows with its length, as long words
+are rare. Every occurrence votes with its weight on each bit.
 
 Defined results: a null text is empty; a text without words has a fingerprint of zeros. Equal
 texts have equal fingerprints. Rows are told apart, so repeated rows are fingerprinted each.
@@ -32,9 +32,9 @@ ROWS_PER_RANGE, MAX_RANGES, SEARCH_STEP = 2_000, 16_384, 128
 def terms(words: Column) -> Column:
     """The terms at each word, as ``(hash, weight)``."""
     return F.transform(words, lambda word, i: F.struct(
-        F.xxhash64(word, F.get(words, i + 1), F.get(words, i + 2)).alias("hash"),
-        (F.lit(2) + F.length(word) + F.coalesce(F.length(F.get(words, i + 1)), F.lit(0))
-         + F.coalesce(F.length(F.get(words, i + 2)), F.lit(0))).cast("long").alias("weight"),
+        F.xxhash64(word, F.get(words, i + 1)).alias("hash"),
+        (F.lit(2) + F.length(word) + F.coalesce(F.length(F.get(words, i + 1)), F.lit(0)))
+        .cast("long").alias("weight"),
     ))
 
 
