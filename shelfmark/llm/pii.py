@@ -291,6 +291,13 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def masks(kind: str, matches: Column) -> Column:
+    """What stands in place of each match: the kind, or the match if it is not accepted."""
+    return F.transform(matches, lambda m: F.when(
+        accepted(kind, m["value"]), F.lit(f"[{kind.upper()}]")
+    ).otherwise(m["value"]))
+
+
 def mask_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with every identifier replaced by its kind in brackets.
 
@@ -309,11 +316,9 @@ def mask_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     df = docs.withColumn("_key", F.xxhash64(F.col(id_col), text)).withColumn("_masked", text)
     for kind in KINDS:
         df = with_matches(df, "_masked", kind.pattern, F.col("_masked").rlike(kind.present), "_found")
-        tokens = F.transform(F.col("_found"), lambda m, k=kind: F.when(
-            accepted(k.name, m["value"]), F.lit(f"[{k.name.upper()}]")
-        ).otherwise(m["value"]))
         joined = F.array_join(F.zip_with(
-            F.col("__found_g"), tokens, lambda gap, token: F.concat(gap, F.coalesce(token, F.lit("")))
+            F.col("__found_g"), masks(kind.name, F.col("_found")),
+            lambda gap, mask: F.concat(gap, F.coalesce(mask, F.lit(""))),
         ), "")
         df = df.withColumn(
             "_masked", F.when(F.size("_found") > 0, joined).otherwise(F.col("_masked"))
