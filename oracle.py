@@ -7,7 +7,7 @@ early, so the SQL does not share the shortcuts of the Spark code.
 
 from __future__ import annotations
 
-from fixtures import view_sql
+from fixtures import key, view_sql
 
 _TERM_VIEWS = ("terms", "course_listings", "courses")
 _ITEM_VIEWS = ("item_records", "items", "holdings_ext", "instances")
@@ -115,7 +115,7 @@ _DAYS_BY_WINDOW = _with(
     ("terms", "loans"),
     """wanted as (
     select distinct loans.item_id, terms.start_date as window_start, terms.end_date as window_end
-    from loans join terms on terms.id = cast(cast(loans.item_id as bigint) % 25 as string)
+    from loans join terms on cast(right(terms.id, 12) as bigint) = cast(right(loans.item_id, 12) as bigint) % 25
     where terms.start_date is not null)""",
 ) + """select wanted.item_id, window_start, window_end, cast(count(__id) as bigint) as checkouts
 from wanted join loans on loans.item_id = wanted.item_id and loans.action = 'checkedout'
@@ -254,7 +254,7 @@ left join holdings on holdings.id = record.holdingsrecordid
 left join instances on instances.id = holdings.instance_id
 left join locations on locations.id = record.effectivelocationid
 left join material_types on material_types.id = record.materialtypeid
-where item_note_types.id = '0'""",
+where item_note_types.id = '{key(0)}'""",
     "instance_ext": _with(
         ("instances", "instance_records", "instance_types", "modes_of_issuance", "instance_statuses")
     ) + f"""select instances.id as instance_id, hrid as instance_hrid,
@@ -325,11 +325,11 @@ left join call_number_types effective_type
 from elements""",
     "zero_use_items": _with(
         ("item_history", "holdings_history", "instance_history", "check_ins")
-    ) + """select item_history.id as item_id, title
+    ) + f"""select item_history.id as item_id, title
 from item_history
 join holdings_history on holdings_history.id = item_history.holdings_record_id
 join instance_history on instance_history.id = holdings_history.instance_id
-where __current and permanent_location_id = '2' and not exists (
+where __current and permanent_location_id = '{key(2)}' and not exists (
     select 1 from check_ins where check_ins.item_id = item_history.id
         and occurred_date_time between date '2024-01-03' and date '2024-01-20')""",
     # operators

@@ -16,8 +16,13 @@ def as_boolean(text: Column) -> Column:
 
 
 def as_uuid(text: Column) -> Column:
-    """Document ids in lower case, since ids are equal whatever their case."""
-    return F.lower(F.trim(text))
+    """A document's id in the one form ids are compared in; NULL if it is malformed.
+
+    Case, hyphens, braces and spaces around an id do not matter.
+    """
+    digits = F.regexp_replace(F.lower(F.trim(text)), "[{}-]", "")
+    hyphened = F.regexp_replace(digits, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    return F.when(digits.rlike("^[0-9a-f]{32}$"), hyphened)
 
 
 def as_timestamp(text: Column) -> Column:

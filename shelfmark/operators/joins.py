@@ -8,12 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 _HASH = "_key_hash"
 
-# Most rows to broadcast by hint: at some 150 bytes for ids and short texts, 30 MB.
-FEW_ROWS = 200_000
-
 
 def skew_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", few: bool = False
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left"
 ) -> DataFrame:
     """Equi-join of rows with possibly hot keys to a table already grouped by the key.
 
@@ -21,12 +18,7 @@ def skew_join(
     straight out of a shuffle. A grouped right side is already partitioned by the key,
     so Spark would join it as it is and leave the hot key to a single task. Joining on
     the key and its hash asks for a fresh shuffle on both sides, and the split applies.
-
-    ``few`` tells that the right side was counted and found small; it is then broadcast,
-    and the left side stays where it is.
     """
-    if few:
-        return left.join(F.broadcast(right), list(on), how)
     key_hash = F.xxhash64(*on)
     return (
         left.withColumn(_HASH, key_hash)
@@ -35,38 +27,13 @@ def skew_join(
     )
 
 
-def is_few(df: DataFrame, limit: int | None = None) -> bool:
-    """Whether there are at most ``limit`` rows, by default ``FEW_ROWS``. Counts at once.
-
-    Spark's own estimate of a filtered or joined table's size is far too high to let it
-    broadcast one; this is the check that allows a hint. Meant for narrow rows.
-    """
-    return df.count() <= (FEW_ROWS if limit is None else limit)
-
-
-def broadcast_few(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """The rows marked for broadcast if they are few, else left to Spark's choice."""
-    return F.broadcast(df) if is_few(df, limit) else df
-
-
-def few_keys(keys: DataFrame, limit: int | None = None) -> DataFrame | None:
-    """The distinct keys of a one-column table, marked for broadcast if few, else None.
-
-    The check is a sketch of fixed size per task, right to a few percent, so that many keys
-    are found to be many without a shuffle of them.
-    """
-    (column,) = keys.columns
-    about = keys.agg(F.approx_count_distinct(column)).first()[0]
-    few = about <= (FEW_ROWS if limit is None else limit)
-    return F.broadcast(keys.distinct()) if few else None
-
-
 def keep_keys(df: DataFrame, keys: DataFrame | None) -> DataFrame:
-    """Drop rows that a later join on the key columns would drop, before they are shuffled.
+    """Drop rows whose key a later join would drop, before further joins carry them on.
 
-    Without a small key set this does nothing, and the later join does all the work.
+    Without ``keys`` nothing is dropped. The keys are made distinct inside their scan; how
+    the join is done is left to Spark, which knows the sizes once they are there.
     """
-    return df if keys is None else df.join(keys, keys.columns, "left_semi")
+    return df if keys is None else df.join(keys.distinct(), keys.columns, "left_semi")
 
 
 def lookup_names(

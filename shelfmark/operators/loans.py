@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from shelfmark.functions import within_days, within_midnights
-from shelfmark.operators.joins import keep_keys
 from shelfmark.operators.terms import Window
 
 # Loan action and previous statuses at check-in.
@@ -14,15 +13,12 @@ WAS_CHECKED_OUT = "Checked out"
 WAS_AVAILABLE = "Available"
 
 
-def count_checkouts(
-    loans: DataFrame, window: Window | None = None, items: DataFrame | None = None
-) -> DataFrame:
+def count_checkouts(loans: DataFrame, window: Window | None = None) -> DataFrame:
     """Checkouts per item, within the window if there is one.
 
     Counting before any join combines a popular item's loans inside each scan task.
-    ``items`` may name the few items that matter.
     """
-    checkouts = keep_keys(loans.where(F.col("action") == CHECKED_OUT_ACTION), items)
+    checkouts = loans.where(F.col("action") == CHECKED_OUT_ACTION)
     if window is not None:
         checkouts = checkouts.where(
             within_midnights(F.col("loan_date"), window.start, window.end)
@@ -30,50 +26,45 @@ def count_checkouts(
     return checkouts.groupBy("item_id").agg(F.count("__id").alias("checkouts"))
 
 
-def count_checkouts_per_window(
-    loans: DataFrame, wanted: DataFrame, outer: Window | None = None,
-    items: DataFrame | None = None,
-) -> DataFrame:
-    """Checkouts per distinct ``(item_id, window_start, window_end)`` row of ``wanted``.
+def count_checkouts_per_window(loans: DataFrame, windows: DataFrame) -> DataFrame:
+    """Checkouts per item within each of the ``(window_start, window_end)`` rows.
 
-    Loans are first counted per item and day, so an item brings at most two rows per
-    calendar day into the range join, however often it was lent. ``outer`` spans all
-    wanted windows and cuts the loan scan; ``items`` may name the few items that matter.
+    The distinct windows reach the scan as one array: they are the terms' dates, so no more
+    than there are terms. A loan is repeated for the windows that hold it, and counted in
+    the scan's own stage; loans are shuffled once, as counts. The span of all windows cuts
+    the scan itself.
     """
-    moment, first_day = F.col("loan_date"), F.to_date("loan_date")
-    checkouts = keep_keys(loans.where(F.col("action") == CHECKED_OUT_ACTION), items)
-    if outer is not None:
-        checkouts = checkouts.where(within_midnights(moment, outer.start, outer.end))
-    # A loan is inside [start, end] exactly if first_day >= start and last_day <= end:
-    # past midnight it is already outside a window that ends on that day.
-    daily = (
-        checkouts.select(
-            "item_id", "__id", first_day.alias("first_day"),
-            F.when(moment == first_day, first_day).otherwise(F.date_add(first_day, 1))
-            .alias("last_day"),
-        )
-        .groupBy("item_id", "first_day", "last_day")
-        .agg(F.count("__id").alias("n"))
-    )
-    windows = wanted.select("item_id", "window_start", "window_end").distinct()
-    inside = (F.col("first_day") >= F.col("window_start")) & (
-        F.col("last_day") <= F.col("window_end")
-    )
-    return (
-        daily.join(windows, "item_id").where(inside)
-        .groupBy("item_id", "window_start", "window_end")
-        .agg(F.sum("n").alias("checkouts"))
+    distinct = windows.select("window_start", "window_end").distinct()
+    spans = distinct.agg(F.collect_list(F.struct("window_start", "window_end")).alias("spans"))
+    span = distinct.agg(F.min("window_start").alias("first"), F.max("window_end").alias("last"))
+    moment = F.col("loan_date")
+    held = (
+        loans.where(F.col("action") == CHECKED_OUT_ACTION)
+        .where(within_midnights(
+            moment, span.select("first").scalar(), span.select("last").scalar()
+        ))
+        .withColumn("_spans", spans.select("spans").scalar())
+        .withColumn("_spans", F.filter("_spans", lambda window: (
+            within_midnights(moment, window["window_start"], window["window_end"])
+        )))
+        .select("item_id", "__id", F.explode("_spans").alias("_span"))
     )
+    return held.groupBy(
+        "item_id", F.col("_span.window_start").alias("window_start"),
+        F.col("_span.window_end").alias("window_end"),
+    ).agg(F.count("__id").alias("checkouts"))
 
 
-def count_loans(
-    loans_items: DataFrame, start_date: str, end_date: str, items: DataFrame | None = None
-) -> DataFrame:
-    """Loans per item, first and last day included as a whole; ``items`` may name the few
-    items that matter."""
+def count_loans(loans_items: DataFrame, start_date: str, end_date: str) -> DataFrame:
+    """Loans per item, first and last day included as a whole."""
     start, end = F.lit(start_date).cast("date"), F.lit(end_date).cast("date")
     return (
-        keep_keys(loans_items.where(within_days(F.col("loan_date"), start, end)), items)
+        loans_items.where(within_days(F.col("loan_date"), start, end))
         .groupBy("item_id")
         .agg(F.count("loan_id").alias("loans"))
     )
+
+
+def never_checked_in(items: DataFrame, check_ins: DataFrame) -> DataFrame:
+    """The ``(item_id, ...)`` rows of items that no check-in names."""
+    return items.join(check_ins.select("item_id").distinct(), "item_id", "left_anti")

@@ -10,7 +10,7 @@ from shelfmark.functions import (
     Elements, as_boolean, as_timestamp, as_uuid, explode_elements, with_document_fields,
 )
 from shelfmark.operators.courses import count_versions
-from shelfmark.operators.joins import keep_keys, lookup_names
+from shelfmark.operators.joins import keep_keys, lookup_names, skew_join
 from shelfmark.operators.result import conform
 from shelfmark.sources import Tables
 
@@ -188,42 +188,63 @@ def wide_items(
 
     Only the wanted columns' sources are touched: the flat table is joined, the document
     parsed and a lookup joined only if some wanted column comes from there. ``only`` may
-    name the few items that matter; the documents of the others are not parsed.
-    ``carried`` names columns that the raw records have in addition, to be passed through.
+    name the items that matter; the others go no further than the join with the flat
+    table, which is by the same key. ``carried`` names columns that the raw records have in
+    addition, to be passed through.
     """
     columns = list(columns or [name for name, _ in ITEM_SCHEMA])
-    if "item_ext" in tables:
-        return keep_keys(tables["item_ext"], only).select(*columns, *carried)
-
     named = {c: ITEM_NAMES[c] for c in columns if c in ITEM_NAMES}
     needed = dict.fromkeys([*columns, "item_id", *(key for _, key in named.values())])
     paths = {c: ITEM_PATHS[c] for c in needed if c in ITEM_PATHS}
     flat = {c: ITEM_FLAT[c] for c in needed if c in ITEM_FLAT}
     keys = [c for c in needed if c in ITEM_KEYS]
 
-    items = keep_keys(tables["item_records"].select(
+    items = tables["item_records"].select(
         *(F.col(ITEM_KEYS[c]).alias(c) for c in keys), *carried, *(["jsonb"] if paths else [])
-    ), only)
+    )
     if paths:
         fields = with_document_fields(items, "jsonb", paths, [*keys, *carried])
         items = _typed(fields, ITEM_SCHEMA, paths)
     if flat:
-        table = keep_keys(tables["items"].select(
+        table = tables["items"].select(
             F.col("id").alias("item_id"), *(F.col(s).alias(c) for c, s in flat.items())
-        ), only)
+        )
         items = items.join(table, "item_id", "left")
+    items = keep_keys(items, only)
     items = lookup_names(items, [(tables[t], key, name) for name, (t, key) in named.items()])
     types = {**dict(items.dtypes), **dict(ITEM_SCHEMA)}
     columns = [*columns, *carried]
     return conform(items.select(*columns), [(c, types[c]) for c in columns])
 
 
+def known_items(
+    tables: Tables, columns: Sequence[str], only: DataFrame | None = None,
+    carried: Sequence[str] = (),
+) -> DataFrame:
+    """``wide_items``, taken from a registered ``item_ext`` if there is one."""
+    if "item_ext" in tables:
+        return keep_keys(_registered(tables, "item_ext", [*columns, *carried]), only)
+    return wide_items(tables, columns, only, carried)
+
+
+def known_instances(tables: Tables, columns: Sequence[str]) -> DataFrame:
+    """``wide_instances``, taken from a registered ``instance_ext`` if there is one."""
+    if "instance_ext" in tables:
+        return _registered(tables, "instance_ext", columns)
+    return wide_instances(tables, columns)
+
+
+def _registered(tables: Tables, name: str, columns: Sequence[str]) -> DataFrame:
+    table = tables[name]
+    missing = [c for c in columns if c not in table.columns]
+    if missing:
+        raise ValueError(f"this needs the columns {', '.join(missing)} in table {name!r}")
+    return table.select(*columns)
+
+
 def wide_instances(tables: Tables, columns: Sequence[str] | None = None) -> DataFrame:
     """Instance rows with document fields and lookup names; ``columns`` cuts the work."""
     columns = list(columns or [name for name, _ in INSTANCE_SCHEMA])
-    if "instance_ext" in tables:
-        return tables["instance_ext"].select(*columns)
-
     named = {c: INSTANCE_NAMES[c] for c in columns if c in INSTANCE_NAMES}
     needed = dict.fromkeys([*columns, "instance_id", *(key for _, key in named.values())])
     paths = {c: INSTANCE_PATHS[c] for c in needed if c in INSTANCE_PATHS}
@@ -291,22 +312,49 @@ def with_titles(tables: Tables, items: DataFrame) -> DataFrame:
     holdings = tables["holdings_ext"].select(
         F.col("holdings_id").alias("holdings_record_id"), "instance_id"
     )
-    titles = wide_instances(tables, ["instance_id", "title"]).select(
+    titles = known_instances(tables, ["instance_id", "title"]).select(
         "instance_id", F.col("title").alias("instance_title")
     )
     return items.join(holdings, "holdings_record_id", "left").join(titles, "instance_id", "left")
 
 
-def item_facts(tables: Tables, only: DataFrame | None = None) -> DataFrame:
-    """``item_id, item_barcode, call_number, instance_title`` once each, with the number
-    of rows behind them. Copies are combined before they are shuffled."""
-    items = wide_items(
+def holdings_titles(tables: Tables) -> DataFrame:
+    """``holdings_record_id, instance_title`` once each, with the number of rows behind them."""
+    holdings = tables["holdings_ext"].select(
+        F.col("holdings_id").alias("holdings_record_id"), "instance_id"
+    )
+    titles = known_instances(tables, ["instance_id", "title"]).select(
+        "instance_id", F.col("title").alias("instance_title")
+    )
+    return count_versions(
+        holdings.join(titles, "instance_id", "left"), ["holdings_record_id", "instance_title"],
+        "title_versions",
+    )
+
+
+def item_facts(
+    tables: Tables, only: DataFrame | None = None, counts: DataFrame | None = None
+) -> DataFrame:
+    """``item_id, item_barcode, call_number, instance_title`` once each, with the number of
+    rows behind them and, given ``counts`` per item, their columns.
+
+    Records, flat items, wanted items and counts all meet on the item, where copies of a
+    record are combined too; only the combined rows go on to the titles.
+    """
+    items = known_items(
         tables, ["item_id", "barcode", "effective_call_number", "holdings_record_id"], only
     ).select(
         "item_id", "holdings_record_id", F.col("barcode").alias("item_barcode"),
         F.col("effective_call_number").alias("call_number"),
     )
-    return count_versions(
-        with_titles(tables, items),
-        ["item_id", "item_barcode", "call_number", "instance_title"], "item_versions",
+    facts = ["item_id", "item_barcode", "call_number"]
+    items = count_versions(items, [*facts, "holdings_record_id"], "copies")
+    counted: list[str] = []
+    if counts is not None:
+        items = items.join(counts, "item_id", "left")
+        counted = [c for c in counts.columns if c != "item_id"]
+    titled = skew_join(items, holdings_titles(tables), ["holdings_record_id"])
+    versions = F.col("copies") * F.coalesce("title_versions", F.lit(1))
+    return titled.groupBy(*facts, "instance_title", *counted).agg(
+        F.sum(versions).alias("item_versions")
     )

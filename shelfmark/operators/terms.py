@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.operators.courses import count_versions
-from shelfmark.operators.joins import is_few, skew_join
+from shelfmark.operators.joins import skew_join
 
 # Fixed value: the term of courses that run in every quarter.
 PERMANENT = "Permanent"
@@ -54,7 +54,6 @@ def resolve_terms(
     terms: DataFrame,
     allowed: Sequence[str] | None = None,
     preferred: str | None = None,
-    few_courses: bool = False,
 ) -> DataFrame:
     """The term of each distinct (listing, course number), and how often the pair occurs.
 
@@ -65,9 +64,7 @@ def resolve_terms(
 
     Every step is an aggregate that combines before it shuffles, so a course number or
     listing shared by a large part of the courses costs no more than any other.
-    ``few_courses`` tells that the courses were counted and found few.
     """
-    few_listings = is_few(listings)
     pairs = count_versions(courses, ["course_listing_id", "course_number"], "course_versions")
     if allowed is not None:
         terms = terms.where(F.col("name").isin(list(allowed)))
@@ -80,15 +77,15 @@ def resolve_terms(
     by_number = (
         skew_join(
             courses.select("course_listing_id", "course_number"), by_listing,
-            ["course_listing_id"], "inner", few_listings,
+            ["course_listing_id"], "inner",
         )
         .groupBy("course_number").agg(F.min("own_term").alias("shared_term"))
     )
-    own = skew_join(pairs, by_listing, ["course_listing_id"], few=few_listings).withColumn(
+    own = skew_join(pairs, by_listing, ["course_listing_id"]).withColumn(
         "own_term", F.when(F.col("course_number").isNotNull(), F.col("own_term"))
     )
     return (
-        skew_join(own, by_number, ["course_number"], few=few_courses)
+        skew_join(own, by_number, ["course_number"])
         .withColumn("term", F.coalesce("own_term", "shared_term"))
         .select(
             "course_listing_id", "course_number", "course_versions",

@@ -99,13 +99,21 @@ REPORTS: dict[str, ReportSpec] = {
     ),
     "internal_use_count": ReportSpec(circulation.internal_use_count, (_BARCODE,)),
     "collection_inventory": ReportSpec(
-        inventory.collection_inventory, (Parameter("i_call_number_prefix", TEXT, required=True),)
+        inventory.collection_inventory,
+        (
+            Parameter("i_call_number_prefix", TEXT, required=True),
+            Parameter("call_number_label", TEXT), Parameter("link_base", TEXT),
+        ),
+    ),
+    "note_type_items": ReportSpec(
+        inventory.note_type_items, (Parameter("note_type_id", TEXT),)
     ),
-    "note_type_items": ReportSpec(inventory.note_type_items),
     "instance_ext": ReportSpec(derived.instance_ext),
     "item_ext": ReportSpec(derived.item_ext),
     "item_circulation_notes": ReportSpec(derived.item_circulation_notes),
-    "zero_use_items": ReportSpec(circulation.zero_use_items, (_START, _END)),
+    "zero_use_items": ReportSpec(
+        circulation.zero_use_items, (_START, _END, Parameter("location_id", TEXT))
+    ),
 }
 
 

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions import matches_regex, within_midnights
 from shelfmark.operators import (
-    broadcast_few, conform, count_loans, date_literal, few_keys, keep_keys, ordered, skew_join,
-    wide_items, with_titles,
+    conform, count_loans, date_literal, keep_keys, known_items, never_checked_in, ordered,
+    skew_join, with_titles,
 )
 from shelfmark.operators.loans import WAS_AVAILABLE, WAS_CHECKED_OUT
 from shelfmark.sources import Tables
@@ -34,19 +34,15 @@ def circ_stats_course_reserves(
     sort: bool = True,
 ) -> DataFrame:
     """Loans of the items on reserve for courses whose name matches a pattern."""
-    courses = broadcast_few(
-        tables["courses"].where(matches_regex(F.col("name"), circ_stat_course_name))
-        .select("course_listing_id")
-    )
-    reserved = (
-        tables["reserves"].where(F.col("item_id").isNotNull())
-        .join(courses, "course_listing_id", "left_semi").select("item_id").distinct()
-    )
-    few = few_keys(reserved)
-    counts = count_loans(tables["loans_items"], start_date, end_date, few).where(
-        F.col("loans") >= 1
-    )
-    items = wide_items(tables, ["item_id", "barcode", "holdings_record_id"], few)
+    courses = tables["courses"].where(
+        matches_regex(F.col("name"), circ_stat_course_name)
+    ).select("course_listing_id")
+    reserved = keep_keys(
+        tables["reserves"].where(F.col("item_id").isNotNull()), courses
+    ).select("item_id").distinct()
+    counts = count_loans(tables["loans_items"], start_date, end_date).where(F.col("loans") >= 1)
+    items = known_items(tables, ["item_id", "barcode", "holdings_record_id"])
+    # All three are by item: one shuffle each, and only lent reserved items go on.
     rows = (
         with_titles(tables, reserved.join(counts, "item_id").join(items, "item_id", "left"))
         .select("barcode", "instance_title", "loans").distinct()
@@ -104,10 +100,9 @@ def zero_use_items(
     location_id: str = ZERO_USE_LOCATION,
 ) -> DataFrame:
     """Current items of a location without a check-in between two dates."""
-    holdings = broadcast_few(
-        tables["holdings_history"].where(F.col("permanent_location_id") == location_id.lower())
-        .select(F.col("id").alias("holdings_record_id"), "instance_id")
-    )
+    holdings = tables["holdings_history"].where(
+        F.col("permanent_location_id") == location_id.strip().lower()
+    ).select(F.col("id").alias("holdings_record_id"), "instance_id")
     items = tables["item_history"].where(F.col("__current")).select(
         F.col("id").alias("item_id"), "holdings_record_id"
     ).join(holdings, "holdings_record_id")
@@ -115,10 +110,9 @@ def zero_use_items(
         within_midnights(
             F.col("occurred_date_time"), date_literal(start_date), date_literal(end_date)
         )
-    ).select("item_id")
-    used = keep_keys(used, few_keys(items.select("item_id"))).distinct()
+    )
     titles = tables["instance_history"].select(F.col("id").alias("instance_id"), "title")
-    rows = items.join(used, "item_id", "left_anti").join(titles, "instance_id")
+    rows = never_checked_in(items, used).join(titles, "instance_id")
     return conform(rows.select("item_id", "title"), ZERO_USE_SCHEMA)
 
 
@@ -139,5 +133,6 @@ def _current_items(tables: Tables, barcodes: str | DataFrame | None) -> DataFram
 
 
 def _of_items(events: DataFrame, items: DataFrame) -> DataFrame:
-    """Events of the items; few items are broadcast, so that no event is shuffled."""
-    return events.join(broadcast_few(items), "item_id")
+    """Events of the items. A runtime filter on the items cuts the events before a shuffle;
+    both sides come straight from it, so that a hot item's events can be split."""
+    return events.join(items, "item_id")

@@ -8,7 +8,7 @@ from shelfmark.functions import (
     as_boolean, as_uuid, catalog_link, compose_call_number, concat_present, matches_regex,
 )
 from shelfmark.operators import (
-    broadcast_few, conform, explode_notes, item_notes, lookup_names, ordered, skew_join,
+    conform, explode_notes, item_notes, known_items, lookup_names, ordered, skew_join,
     wide_items, with_titles,
 )
 from shelfmark.sources import Tables
@@ -59,7 +59,7 @@ def class_list(
     wanted = matches_regex(F.col("note"), note_string)
     if "item_notes" in tables or "item_ext" in tables:
         notes = item_notes(tables).where(wanted)
-        noted = skew_join(notes, wide_items(tables, columns), ["item_id"], "inner")
+        noted = skew_join(notes, known_items(tables, columns), ["item_id"], "inner")
     else:
         # Both come from the raw records: the matching notes are found first, row by row,
         # and only their items are read on and joined.
@@ -102,10 +102,11 @@ def collection_inventory(
         "id", "barcode", "volume", "copy_number", "holdings_record_id", "effective_location_id"
     )
     rows = (
-        items.join(broadcast_few(holdings), "holdings_record_id")
+        items.join(holdings, "holdings_record_id")
         .join(instances, "instance_id")
-        .join(contributors, "instance_id")
     )
+    # Already by instance: a fresh shuffle lets a hot instance's items be split again.
+    rows = skew_join(rows, contributors, ["instance_id"], "inner")
     rows = lookup_names(rows, [(tables["locations"], "effective_location_id", "location")])
     rows = rows.select(
         "location", "index_title", "contributor_name",
@@ -127,12 +128,13 @@ def note_type_items(
         tables["item_records"], "notes", ["note", "staffOnly", "itemNoteTypeId"],
         ["holdingsrecordid", "effectivelocationid", "materialtypeid"], paths,
     ).withColumn("note_type", as_uuid(F.col("itemNoteTypeId")))
-    wanted = note_type_id.lower()
+    wanted = note_type_id.strip().lower()
     notes = notes.where(F.col("note_type") == wanted)
-    # All notes that are left share the one key, so this join must not shuffle by it.
-    types = broadcast_few(tables["item_note_types"].where(F.col("id") == wanted).select(
+    # All notes that are left share the one key. The type's row comes from a lookup table,
+    # small enough for Spark to broadcast; else both sides are split by size.
+    types = tables["item_note_types"].where(F.col("id") == wanted).select(
         F.col("id").alias("note_type"), F.col("name").alias("note_type_name")
-    ))
+    )
     holdings = tables["holdings"].select(
         F.col("id").alias("holdingsrecordid"), F.col("hrid").alias("holdings_hrid"),
         "call_number", "instance_id",

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.operators import (
     PERMANENT, Window, conform, count_checkouts, count_checkouts_per_window, count_versions,
-    current_only, date_literal, exclude_courses, few_keys, is_few, is_on, item_facts,
+    current_only, date_literal, exclude_courses, is_on, item_facts, keep_keys,
     match_course_codes, ordered, resolve_terms, skew_join, term_window,
 )
 from shelfmark.sources import Tables
@@ -64,7 +64,7 @@ def reserves_permanent(
     reserves = _of_courses(courses, current_only(tables["reserves"], show_historical))
     window = Window(date_literal(start_date), date_literal(end_date))
     rows = _on_reserve(resolved, reserves, RESERVE_DATES)
-    rows = _with_checkouts(tables, rows, window, _few_items(reserves))
+    rows = _with_checkouts(tables, rows, window, _items(reserves))
     return _dated_result(rows, _total(F.col("checkouts")), sort)
 
 
@@ -83,7 +83,7 @@ def reserves_quarter(
     reserves = _of_courses(courses, current_only(tables["reserves"], show_historical))
     window = term_window(tables["terms"], term_name, start_date, end_date)
     rows = _on_reserve(resolved, reserves)
-    rows = _with_checkouts(tables, rows, window, _few_items(reserves))
+    rows = _with_checkouts(tables, rows, window, _items(reserves))
     result = rows.withColumn("checkout_count", _total(F.col("checkouts")))
     result = conform(result.select(*(n for n, _ in QUARTER_SCHEMA)), QUARTER_SCHEMA)
     return ordered(result, ["course_term"], sort)
@@ -114,14 +114,10 @@ def reserves_quarter_course(
     )
     reserves = _of_courses(courses, current_only(tables["reserves"], show_historical))
     rows = _on_reserve(resolved, reserves, RESERVE_DATES)
-    items = _few_items(reserves)
-    # The count columns are always positive. Asking for them here keeps them in this use of
-    # the rows too, and with the same columns as below Spark runs the shuffles once.
-    wanted = rows.where((F.col("course_versions") > 0) & (F.col("reserve_versions") > 0))
     checkouts = count_checkouts_per_window(
-        tables["loans"], wanted, _outer_window(tables["terms"], allowed, window), items
+        tables["loans"], _windows(tables["terms"], allowed, window)
     )
-    rows = skew_join(rows, item_facts(tables, items), ["item_id"])
+    rows = skew_join(rows, item_facts(tables, _items(reserves)), ["item_id"])
     rows = skew_join(rows, checkouts, ["item_id", "window_start", "window_end"])
     return _dated_result(rows, _total(F.col("checkouts")), sort)
 
@@ -153,7 +149,7 @@ def reserves_listings_only(
         courses, current_only(undated, by_code or is_on(show_historical_reserves))
     )
     rows = _on_reserve(resolved, reserves, RESERVE_DATES)
-    rows = _with_checkouts(tables, rows, None, _few_items(reserves))
+    rows = _with_checkouts(tables, rows, None, _items(reserves))
     total = _total(F.col("checkouts"))
     if not (by_code or is_on(show_historical_checkouts)):
         total = F.when(F.col("__current"), total).otherwise(0)
@@ -168,7 +164,6 @@ def _names_term(term_name: str | None) -> bool:
 class _Courses:
     rows: DataFrame
     filtered: bool
-    few: bool
 
 
 def _chosen(
@@ -182,7 +177,7 @@ def _chosen(
     everything = tables["courses"]
     rows = exclude_courses(everything, exclusions, law_keeps_unnumbered=law_keeps_unnumbered)
     rows = match_course_codes(rows, course_codes)
-    return _Courses(rows, rows is not everything, is_few(rows))
+    return _Courses(rows, rows is not everything)
 
 
 def _resolved(
@@ -191,10 +186,9 @@ def _resolved(
     allowed: Sequence[str] | None = None,
     preferred: str | None = None,
 ) -> DataFrame:
-    resolved = resolve_terms(
-        courses.rows, tables["course_listings"], tables["terms"], allowed, preferred, courses.few
+    return resolve_terms(
+        courses.rows, tables["course_listings"], tables["terms"], allowed, preferred
     )
-    return F.broadcast(resolved) if courses.few else resolved
 
 
 def _allowed_terms(term_name: str | None) -> list[str] | None:
@@ -224,24 +218,22 @@ def _on_reserve(
 
 
 def _of_courses(courses: _Courses, reserves: DataFrame) -> DataFrame:
-    """Reserves with an item, cut to the chosen courses' listings if a few were chosen."""
+    """Reserves with an item, cut to the chosen courses' listings if some were chosen."""
     reserves = reserves.where(F.col("item_id").isNotNull())
-    if not (courses.filtered and courses.few):
-        return reserves
-    listings = F.broadcast(courses.rows.select("course_listing_id"))
-    return reserves.join(listings, "course_listing_id", "left_semi")
+    return keep_keys(
+        reserves, courses.rows.select("course_listing_id") if courses.filtered else None
+    )
 
 
-def _few_items(reserves: DataFrame) -> DataFrame | None:
-    """The items on reserve, if few: far fewer than are lent, as a rule."""
-    return few_keys(reserves.select("item_id"))
+def _items(reserves: DataFrame) -> DataFrame:
+    """The items on reserve: far fewer than there are, as a rule."""
+    return reserves.select("item_id")
 
 
 def _with_checkouts(
-    tables: Tables, rows: DataFrame, window: Window | None, items: DataFrame | None
+    tables: Tables, rows: DataFrame, window: Window | None, items: DataFrame
 ) -> DataFrame:
-    counts = count_checkouts(tables["loans"], window, items)
-    facts = item_facts(tables, items).join(counts, "item_id", "left")
+    facts = item_facts(tables, items, count_checkouts(tables["loans"], window))
     return skew_join(rows, facts, ["item_id"])
 
 
@@ -260,12 +252,14 @@ def _dated_result(rows: DataFrame, total: Column, sort: bool) -> DataFrame:
     return ordered(conform(result, DATED_SCHEMA), ["course_term"], sort)
 
 
-def _outer_window(terms: DataFrame, allowed: Sequence[str] | None, window: Window) -> Window:
-    """Bounds that hold every window a row can get: the allowed terms' and ``window``."""
+def _windows(terms: DataFrame, allowed: Sequence[str] | None, window: Window) -> DataFrame:
+    """Every window a row can get: the allowed terms', with ``window`` where dates lack."""
     if allowed is not None:
         terms = terms.where(F.col("name").isin(list(allowed)))
-    span = terms.agg(F.min("start_date").alias("first"), F.max("end_date").alias("last"))
-    return Window(
-        F.least(span.select("first").scalar(), window.start),
-        F.greatest(span.select("last").scalar(), window.end),
+    undated = terms.sparkSession.range(1).select(
+        F.lit(None).cast("date").alias("start_date"), F.lit(None).cast("date").alias("end_date")
+    )
+    return terms.select("start_date", "end_date").unionAll(undated).select(
+        F.coalesce("start_date", window.start).alias("window_start"),
+        F.coalesce("end_date", window.end).alias("window_end"),
     )

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # A filter on one table, however large its files, may cut the other side of a join.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
 }
 
 

@@ -70,6 +70,13 @@ REQUIRED_COLUMNS: dict[str, tuple[str, ...]] = {
 
 CURRENT_FLAG = "__current"
 
+# Columns that end like an id and are none that is compared.
+_NOT_IDS = ("__id", "hrid")
+
+
+def is_id(column: str) -> bool:
+    return column.endswith("id") and column not in _NOT_IDS
+
 
 Source = DataFrame | Callable[[], DataFrame]
 
@@ -79,13 +86,19 @@ class Tables:
 
     A table may be given as a function that opens it; it is called on first use, so a
     report opens only the tables it reads.
+
+    Ids are equal whatever their case, so id columns that hold text are read in lower case.
+    Tables known to hold them so can be taken as they are, with ``lower_ids=False``, which
+    keeps their bucketing and lets filters on ids reach the files.
     """
 
-    def __init__(self, sources: Mapping[str, Source]):
+    def __init__(self, sources: Mapping[str, Source], lower_ids: bool = True):
         unknown = sorted(set(sources) - set(REQUIRED_COLUMNS))
         if unknown:
             raise KeyError(f"not a logical table: {', '.join(unknown)}")
         self._sources = dict(sources)
+        self._opened: dict[str, DataFrame] = {}
+        self._lower_ids = lower_ids
 
     @classmethod
     def from_parquet(
@@ -108,17 +121,23 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._sources:
             raise KeyError(f"table {name!r} is not registered")
-        source = self._sources[name]
-        if not isinstance(source, DataFrame):
-            source = self._sources[name] = source()
-        missing = [c for c in REQUIRED_COLUMNS[name] if c not in source.columns]
+        if name not in self._opened:
+            source = self._sources[name]
+            self._opened[name] = self._checked(name, source if isinstance(source, DataFrame) else source())
+        return self._opened[name]
+
+    def _checked(self, name: str, table: DataFrame) -> DataFrame:
+        missing = [c for c in REQUIRED_COLUMNS[name] if c not in table.columns]
         if missing:
             raise ValueError(f"table {name!r} lacks the columns {', '.join(missing)}")
-        return source
+        if not self._lower_ids:
+            return table
+        ids = [c for c, kind in table.dtypes if kind == "string" and is_id(c)]
+        return table.withColumns({c: F.lower(F.col(c)) for c in ids}) if ids else table
 
     def with_tables(self, **sources: Source) -> Tables:
         """A registry with some tables added or replaced."""
-        return Tables({**self._sources, **sources})
+        return Tables({**self._sources, **sources}, self._lower_ids)
 
     def current_versions(self) -> Tables:
         """A registry whose history tables keep only the rows flagged current.
@@ -132,4 +151,4 @@ class Tables:
             flagged = CURRENT_FLAG in table.columns
             return table.where(F.col(CURRENT_FLAG)) if flagged else table
 
-        return Tables({n: lambda name=n: current(name) for n in self._sources})
+        return Tables({n: lambda name=n: current(name) for n in self._sources}, self._lower_ids)

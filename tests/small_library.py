@@ -8,6 +8,12 @@ from shelfmark import Tables
 D, T = dt.date, dt.datetime
 
 
+def uid(number: int) -> str:
+    """An id as documents hold it, in upper case; results show it in lower case."""
+    return f"ABCDEF00-0000-4000-8000-{number:012d}"
+
+
+
 def tables(spark, **changed) -> Tables:
     """The small library; keyword arguments replace the rows of a table."""
     rows = {name: changed.get(name, default) for name, (_, default) in _TABLES.items()}
@@ -47,16 +53,16 @@ _TABLES = {
     "reserves": (
         "course_listing_id string, item_id string, start_date date, end_date date, "
         "__current boolean", [
-            ("L1", "i1", D(2024, 1, 1), D(2024, 3, 1), True),
-            ("L1", "i1", D(2023, 1, 1), D(2023, 3, 1), False),
-            ("L2", "i1", None, None, True),
-            ("L3", "i2", None, None, True),
-            ("L3", "i2", None, D(2030, 1, 1), None),
-            ("L4", "i2", None, None, True),
-            ("L5", "i3", None, None, True),
-            ("L6", "i1", None, None, True),
-            ("L7", "i9", None, None, True),       # an item nobody knows
-            ("L1", None, None, None, True),
+            ("l1", "i1", D(2024, 1, 1), D(2024, 3, 1), True),
+            ("l1", "i1", D(2023, 1, 1), D(2023, 3, 1), False),
+            ("l2", "i1", None, None, True),
+            ("l3", "i2", None, None, True),
+            ("l3", "i2", None, D(2030, 1, 1), None),
+            ("l4", "i2", None, None, True),
+            ("l5", "i3", None, None, True),
+            ("l6", "i1", None, None, True),
+            ("l7", "i9", None, None, True),       # an item nobody knows
+            ("l1", None, None, None, True),
         ]),
     "loans": ("__id bigint, item_id string, action string, loan_date timestamp", [
         (1, "i1", "checkedout", T(2024, 1, 1, 0, 0)),
@@ -90,17 +96,17 @@ _TABLES = {
         "permanentlocationid string, temporarylocationid string, effectivelocationid string", [
             ("i1", document(
                 hrid="it1", barcode="B1", volume=None, numberOfPieces=3, discoverySuppress="on",
-                copyNumber="c1", itemDamagedStatusId="D-ONE", formerIds=["a", "b"],
+                copyNumber="c1", itemDamagedStatusId=uid(1), formerIds=["a", "b"],
                 effectiveCallNumberComponents={"prefix": "Ref", "callNumber": "QA 1", "suffix": "x"},
                 effectiveShelvingOrder="QA 11",
                 notes=[
-                    {"note": "Class of Latin", "itemNoteTypeId": "ABC-1", "staffOnly": "off"},
-                    {"note": "plain", "itemNoteTypeId": "abc-2", "staffOnly": True},
-                    {"note": "latin again", "itemNoteTypeId": "abc-1", "staffOnly": None},
+                    {"note": "Class of Latin", "itemNoteTypeId": uid(2), "staffOnly": "off"},
+                    {"note": "plain", "itemNoteTypeId": uid(3).lower(), "staffOnly": True},
+                    {"note": "latin again", "itemNoteTypeId": uid(2).lower(), "staffOnly": None},
                 ],
                 circulationNotes=[
-                    {"id": "N-1", "note": "handle", "noteType": "Check in", "staffOnly": "yes"},
-                    {"id": "N-2", "note": None, "noteType": "Check out", "staffOnly": "no"},
+                    {"id": uid(4), "note": "handle", "noteType": "Check in", "staffOnly": "yes"},
+                    {"id": "not an id", "note": None, "noteType": "Check out", "staffOnly": "no"},
                 ],
              ), T(2020, 1, 1), "h1", "m1", "l1", None, "loc1", None, "loc1"),
             ("i2", document(notes=[], effectiveCallNumberComponents=None, discoverySuppress=None),
@@ -130,7 +136,7 @@ _TABLES = {
     "holdings_ext": ("holdings_id string, instance_id string", [("h1", "n1"), ("h2", "n2")]),
     "instance_records": ("id string, jsonb string", [
         ("n1", document(
-            metadata={"createdDate": "2024-01-01T01:00:00.000+02:00", "updatedByUserId": "USER-1",
+            metadata={"createdDate": "2024-01-01T01:00:00.000+02:00", "updatedByUserId": "{" + uid(5).replace("-", "") + "} ",
                       "updatedDate": "2024-01-01T01:00:00.000+0200"},
             matchKey="KEY-1", isBoundWith=True,
         )),
@@ -156,9 +162,9 @@ _TABLES = {
     "material_types": (_LOOKUP, [("m1", "book")]),
     "loan_types": (_LOOKUP, [("l1", "long"), ("l2", "short")]),
     "service_points": (_LOOKUP, [("sp1", "desk")]),
-    "item_damaged_statuses": (_LOOKUP, [("d-one", "torn")]),
+    "item_damaged_statuses": (_LOOKUP, [(uid(1), "torn")]),
     "call_number_types": (_LOOKUP, [("cn1", "LC")]),
-    "item_note_types": (_LOOKUP, [("abc-1", "Class"), ("abc-2", "Other")]),
+    "item_note_types": (_LOOKUP, [(uid(2), "Class"), (uid(3), "Other")]),
     "instance_types": (_LOOKUP, [("ty1", "text")]),
     "modes_of_issuance": (_LOOKUP, [("mo1", "single")]),
     "instance_statuses": (_LOOKUP, [("s1", "cataloged")]),

@@ -5,8 +5,9 @@ import datetime as dt
 import pytest
 
 from shelfmark import plans
+from shelfmark.functions import as_uuid
 from shelfmark.operators import item_notes
-from small_library import tables
+from small_library import tables, uid
 
 
 @pytest.fixture(scope="module")
@@ -58,6 +59,56 @@ class TestClassList:
         assert both[0] == both[1]
 
 
+    def test_a_narrow_registered_table(self, library):
+        narrow = plans.item_ext(library).drop("effective_call_number_suffix")
+        stored = library.with_tables(item_ext=narrow)
+        assert rows(plans.class_list(stored, "a")) == rows(plans.class_list(library, "a"))
+        with pytest.raises(ValueError, match="effective_call_number_suffix"):
+            plans.class_list(stored, "a", fix_duplicate=True)
+
+
+def test_derived_tables_are_built_whatever_is_registered(library):
+    stale = library.with_tables(
+        item_ext=plans.item_ext(library).limit(1),
+        instance_ext=plans.instance_ext(library).limit(0).select("instance_id", "title"),
+    )
+    assert sorted(map(str, rows(plans.item_ext(stale)))) == sorted(map(str, rows(plans.item_ext(library))))
+    assert rows(plans.instance_ext(stale)) == rows(plans.instance_ext(library))
+
+
+@pytest.mark.parametrize("text, value", [
+    (uid(7), uid(7).lower()), (" {" + uid(7) + "}", uid(7).lower()),
+    (uid(7).replace("-", ""), uid(7).lower()), ("not a uuid", None), (uid(7) + "0", None),
+    ("", None), (None, None), (uid(7).replace("A", "G"), None),
+])
+def test_ids_are_validated(spark, text, value):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(as_uuid(df.t)).first()[0] == value
+
+
+def test_ids_match_in_any_case_in_every_table(spark):
+    from small_library import _TABLES
+    from shelfmark.sources.tables import is_id
+
+    def shouted(name):
+        schema, given = _TABLES[name]
+        kinds = [part.split() for part in schema.split(", ")]
+        return [tuple(
+            v.upper() if isinstance(v, str) and kind == "string" and is_id(column) else v
+            for v, (column, kind) in zip(row, kinds, strict=True)
+        ) for row in given]
+
+    plain, loud = tables(spark), tables(spark, **{name: shouted(name) for name in _TABLES})
+    for build in (
+        plans.item_ext, plans.instance_ext, plans.reserves_quarter, plans.internal_use_by_item,
+        lambda t: plans.note_type_items(t, uid(2)), lambda t: plans.class_list(t, "a"),
+        lambda t: plans.zero_use_items(t, location_id="LOC1"),
+        lambda t: plans.collection_inventory(t, "Curr"),
+    ):
+        got, want = (sorted(map(str, rows(build(t)))) for t in (loud, plain))
+        assert got == want != []
+
+
 def test_collection_lists_primary_contributors_once(library):
     df = plans.collection_inventory(library, "Curr", link_base="https://x/")
     assert rows(df) == [(
@@ -67,13 +118,13 @@ def test_collection_lists_primary_contributors_once(library):
 
 
 def test_note_type_ids_match_in_any_case(library):
-    df = plans.note_type_items(library, "abc-1")
+    df = plans.note_type_items(library, uid(2))
     shared = ("true", "it1", "ho1", "Stacks", "B1", '["a","b"]', "QA 1", "QA 11", "book", "Latin", "Class")
     assert rows(df) == [
         (*shared, "Class of Latin", "false", 1), (*shared, "latin again", None, 3),
     ]
     assert df.dtypes == list(plans.inventory.NOTE_TYPE_SCHEMA)
-    assert rows(plans.note_type_items(library, "ABC-1")) == rows(df)
+    assert rows(plans.note_type_items(library, uid(2).lower())) == rows(df)
 
 
 def test_default_note_type(library):
@@ -83,7 +134,7 @@ def test_default_note_type(library):
 def test_circulation_notes_keep_their_order(library):
     df = plans.item_circulation_notes(library)
     assert rows(df) == [
-        ("i1", "n-1", "handle", "Check in", True, 1), ("i1", "n-2", None, "Check out", False, 2),
+        ("i1", uid(4).lower(), "handle", "Check in", True, 1), ("i1", None, None, "Check out", False, 2),
     ]
     assert df.dtypes == list(plans.derived.CIRCULATION_NOTES_SCHEMA)
 
@@ -94,7 +145,7 @@ def test_wide_items(library):
     full = one(df, item_id="i1")
     assert (full.item_hrid, full.volume, full.number_of_pieces) == ("it1", None, "3")
     assert full.discovery_suppress is True  # "on"
-    assert (full.damaged_status_id, full.damaged_status_name) == ("d-one", "torn")
+    assert (full.damaged_status_id, full.damaged_status_name) == (uid(1).lower(), "torn")
     assert (full.permanent_loan_type_name, full.temporary_loan_type_name) == ("long", None)
     assert full.created_date == dt.datetime(2020, 1, 1)
     second = one(df, item_id="i2")
@@ -114,7 +165,7 @@ def test_wide_instances(library):
     assert full.updated_date == dt.datetime(2023, 12, 31, 23, 0)
     created = df.selectExpr("instance_id", "cast(record_created_date as string) as c")
     assert one(created, instance_id="n1").c == "2023-12-31 23:00:00"
-    assert (full.updated_by_user_id, full.match_key) == ("user-1", "key-1")
+    assert (full.updated_by_user_id, full.match_key) == (uid(5).lower(), None)
     assert (full.type_name, full.mode_of_issuance_name, full.status_name) == ("text", "single", "cataloged")
     bare = one(df, instance_id="n2")
     assert (bare.previously_held, bare.discovery_suppress, bare.is_bound_with) == (True, False, False)
