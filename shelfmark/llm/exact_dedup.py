@@ -82,7 +82,7 @@ def keep_one_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The documents without all but one of equal texts, columns unchanged.
 
     Rows to drop are known by id and digest. Of rows repeated with the same id and text
-    the first by the other columns' text stays.
+    any one stays.
     """
     digest = F.unhex(text_digest(F.col(text_col)))
     judged = exact_duplicates(docs, id_col, text_col, {"_digest": digest}).where("group_size > 1")
@@ -92,12 +92,14 @@ def keep_one_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         ).where("not _kept or _times > 1"),
         "exact-marks",
     )
-    rows = docs.withColumn("_digest", digest)
+    # The whole row goes along as one column, so that no name can clash.
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(id_col).alias("number"), digest.alias("digest")
+    )
 
     def marked(marks: DataFrame, how: str) -> DataFrame:
-        mark = marks.select("_id", F.col("_digest").alias("_mark"))
-        same = F.col(id_col).eqNullSafe(mark["_id"]) & (F.col("_digest") == mark["_mark"])
-        return rows.join(mark, same, how).drop("_digest")
+        same = F.col("number").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
+        return rows.join(marks.select("_id", "_digest"), same, how)
 
-    once = marked(marks.where("_kept"), "left_semi").dropDuplicates([id_col, text_col])
-    return marked(marks, "left_anti").unionAll(once)
+    once = marked(marks.where("_kept"), "left_semi").dropDuplicates(["number", "digest"])
+    return marked(marks, "left_anti").unionAll(once).select("row.*")

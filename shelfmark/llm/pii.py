@@ -304,7 +304,6 @@ def mask_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Base kinds are masked one after the other, in linear time, then the words that the
     contexts mark in the document.
     """
-    columns = docs.columns
     found = staged(places(docs, id_col, text_col), "pii-places")
     extras = staged(
         extra_spans(found).groupBy("_key").agg(
@@ -313,7 +312,11 @@ def mask_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "pii-extras",
     )
     text = whole(F.col(text_col))
-    df = docs.withColumn("_key", F.xxhash64(F.col(id_col), text)).withColumn("_masked", text)
+    # The whole row goes along as one column, so that no name can clash.
+    df = docs.select(
+        F.struct("*").alias("_row"), F.xxhash64(F.col(id_col), text).alias("_key"),
+        text.alias("_masked"),
+    )
     for kind in KINDS:
         df = with_matches(df, "_masked", kind.pattern, F.col("_masked").rlike(kind.present), "_found")
         joined = F.array_join(F.zip_with(
@@ -329,9 +332,10 @@ def mask_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         )
     ))
     df = df.join(extras, "_key", "left").withColumn("_masked", masked)
-    shown = {text_col: F.when(F.col(text_col).isNotNull(), F.col("_masked"))}
-    if "n_chars" in columns:
-        shown["n_chars"] = F.when(
-            F.col(text_col).isNotNull(), F.char_length("_masked").cast("long")
-        ).otherwise(F.col("n_chars"))
-    return df.select(*(shown.get(name, F.col(name)).alias(name) for name in columns))
+    row = {name: F.col("_row")[name] for name in docs.columns}
+    there = row[text_col].isNotNull()
+    shown = {text_col: F.when(there, F.col("_masked"))}
+    if "n_chars" in row:
+        size = F.char_length("_masked").cast(docs.schema["n_chars"].dataType)
+        shown["n_chars"] = F.when(there, size).otherwise(row["n_chars"])
+    return df.select(*(shown.get(name, column).alias(name) for name, column in row.items()))

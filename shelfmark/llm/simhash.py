@@ -30,16 +30,17 @@ ROWS_PER_RANGE, MAX_RANGES, SEARCH_STEP = 2_000, 16_384, 128
 
 
 def terms(words: Column) -> Column:
-    """The terms at each word, as ``(hash, weight)``."""
+    """The terms at each word, as ``(hash, weight)``; the empty word of a text without any
+    weighs nothing."""
     return F.transform(words, lambda word, i: F.struct(
         F.xxhash64(word, F.get(words, i + 1)).alias("hash"),
-        (F.lit(2) + F.length(word) + F.coalesce(F.length(F.get(words, i + 1)), F.lit(0)))
+        (F.length(word) + F.coalesce(F.length(F.get(words, i + 1)), F.lit(0)))
         .cast("long").alias("weight"),
     ))
 
 
 def words_of(text: Column) -> Column:
-    """What stands between ASCII white space; an empty first or last part is no word."""
+    """What stands between ASCII white space; one empty word if there is nothing else."""
     return F.split(F.regexp_replace(text, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""), r"[\x20\x09-\x0D]+")
 
 
