@@ -1,7 +1,7 @@
 """The registered queries as plain SQL over the test tables, for DuckDB.
 
 Written as directly as SQL allows: versions and loans are joined row by row and counted
-afterwards, terms are ranked over all courses that share a number. Nothing is condensed
+afterwards, a course's term is picked by a lateral subquery over all its candidates. Nothing is condensed
 early, so the SQL does not share the shortcuts of the Spark code.
 """
 
@@ -30,25 +30,27 @@ def _with(views: tuple[str, ...], *tables: str) -> str:
 
 
 def _resolved(allowed: tuple[str, ...] | None = None, preferred: str | None = None) -> str:
+    """The first term of each course, picked course by course among all its candidates."""
     only = "" if allowed is None else (
-        "where term.name in (" + ", ".join(f"'{a}'" for a in allowed) + ")"
+        "and term.name in (" + ", ".join(f"'{a}'" for a in allowed) + ")"
     )
     prefer = "" if preferred is None else f"(term.name <> '{preferred}'),"
-    return f"""placed as (
-    select course.course_listing_id, course.course_number, term.name as course_term,
-        term.start_date as term_start, term.end_date as term_end,
-        row_number() over (
-            partition by course.course_listing_id, course.course_number
-            order by (listing.id <> course.course_listing_id), {prefer}
-                term.start_date desc nulls first, term.name, term.id) as place
-    from (select distinct course_listing_id, course_number from courses) course
-    join courses peer on peer.course_number = course.course_number
-    join course_listings listing on listing.id = peer.course_listing_id
-    join terms term on term.id = listing.term_id
-    {only}),
-resolved as (
-    select course_listing_id, course_number, course_term, term_start, term_end
-    from placed where place = 1)"""
+    return f"""resolved as (
+    select course.course_listing_id, course.course_number, best.course_term, best.term_start,
+        best.term_end
+    from (select distinct course_listing_id, course_number from courses) course,
+    lateral (
+        select term.name as course_term, term.start_date as term_start, term.end_date as term_end
+        from courses peer
+        join course_listings listing on listing.id = peer.course_listing_id
+        join terms term on term.id = listing.term_id
+        where peer.course_number = course.course_number
+            and (listing.id = course.course_listing_id
+                or peer.course_listing_id <> course.course_listing_id)
+            {only}
+        order by (listing.id <> course.course_listing_id), {prefer}
+            term.start_date desc nulls first, term.name, term.id
+        limit 1) best)"""
 
 
 _SAME_COURSE = """resolved.course_listing_id = courses.course_listing_id
