@@ -98,7 +98,7 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
     ends = np.cumsum(counts)
     factors = [np.uint64(pow(_BASE, 2 * place + 3, 1 << 64)) for place in range(words)]
     rolled = np.zeros(len(hashes), np.uint64)
-    for place, factor in enumerate(factors):
+    for place, factor in enumerate(factors[: len(hashes)]):
         rolled[: len(hashes) - place] += hashes[place:] * factor
     rolled = mix(rolled)
     for end, count in zip(ends.tolist(), counts.tolist(), strict=True):
