@@ -17,6 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -148,7 +149,10 @@ def scan_unseen(
         ])
 
     work = staged(work, "secret-work")
-    texts = docs.select(F.col(id_col).alias("path"), whole(F.col(text_col)).alias("text"))
+    # Only texts with some anchor can be among the work, so no other leaves its scan.
+    text = whole(F.col(text_col))
+    anchored = reduce(lambda a, b: a | b, (text.rlike(rule.anchor) for rule in rules))
+    texts = docs.where(anchored).select(F.col(id_col).alias("path"), text.alias("text"))
     fetched = texts.join(work, texts["path"].eqNullSafe(work["path"])).where(
         blob_id(F.col("text")) == F.col("blob")
     ).select("blob", "text", "numbers")
