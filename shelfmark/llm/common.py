@@ -106,10 +106,18 @@ def span_text(spans: Column, kinds: list[str]) -> Column:
     )), ",")
 
 
-def span_digest(docs: DataFrame, spans: Column, base: list[str], kinds: list[str]) -> DataFrame:
-    """Counts by base kind, the base spans' SHA-256, and all spans as text, added to ``docs``."""
+def span_digest(
+    docs: DataFrame, spans: Column, base: list[str], kinds: list[str],
+    base_spans: Column | None = None,
+) -> DataFrame:
+    """Counts by base kind, the base spans' SHA-256, and all spans as text, added to ``docs``.
+
+    The base spans are those of the base kinds, among ``base_spans`` where others share them.
+    """
+    among = spans if base_spans is None else base_spans
+
     def of(wanted: list[str]) -> Column:
-        return F.filter(spans, lambda span: span["kind"].isin(wanted))
+        return F.filter(among, lambda span: span["kind"].isin(wanted))
 
     return docs.select(
         "doc_id", *(F.size(of([kind])).cast("long").alias(f"n_{kind}") for kind in base),

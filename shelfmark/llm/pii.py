@@ -277,7 +277,8 @@ def extra_spans(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: the id and ``found``, an array of ``(kind, start, end)``."""
+    """One row per document: the id, ``found``, an array of ``(kind, start, end)``, and ``base``,
+    those of the base patterns alone."""
     found = staged(places(docs, id_col, text_col), "pii-places")
     extras = extra_spans(found).groupBy("_key").agg(
         F.collect_list(F.struct("kind", "start", "end")).alias("_extra")
@@ -287,7 +288,8 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     ))
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
     return skew_join(found.select("_id", "_key", base.alias("_spans")), extras, ["_key"], "left").select(
-        F.col("_id").alias(id_col), F.concat("_spans", F.coalesce("_extra", none)).alias("found")
+        F.col("_id").alias(id_col), F.concat("_spans", F.coalesce("_extra", none)).alias("found"),
+        F.col("_spans").alias("base"),
     )
 
 

@@ -33,7 +33,7 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op3: the personal data of every document."""
     found = pii.find_pii(table(spark, sf_dir, "documents"))
-    return span_digest(found, F.col("found"), pii.NAMES, pii.NAMES)
+    return span_digest(found, F.col("found"), pii.NAMES, pii.NAMES, F.col("base"))
 
 
 def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

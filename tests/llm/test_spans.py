@@ -66,6 +66,20 @@ def test_contexts_find_unseen_identifiers(spark):
     assert masked[13] == unseen[1]
 
 
+def test_digests_leave_learned_spans_out(spark, tmp_path):
+    texts = [f"well then please call me at +1 555 010 {n:04d} tomorrow" for n in range(12)]
+    texts.append("you may call me at 5550107777 tomorrow, or at +1 555 010 0001 later")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    rows = {r.doc_id: r for r in QUERIES["op3_pii"](spark, str(tmp_path)).collect()}
+    for number, text in enumerate(texts):
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in brute.spans(text, brute.PII))
+        assert rows[number].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert rows[number].n_phone == 1
+    assert rows[12].spans.startswith("phone:19:29,phone:")
+
+
 def test_masking_keeps_rows_columns_and_clean_texts(edge_docs, empty_docs):
     masked = pii.mask_pii(edge_docs)
     assert masked.columns == edge_docs.columns
