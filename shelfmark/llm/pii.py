@@ -86,7 +86,7 @@ def luhn(number: Column) -> Column:
 def accepted(kind: str, value: Column) -> Column:
     """Whether a match of the pattern is one of the kind."""
     if kind == "ip":
-        short = F.regexp_replace(value, r"(?<![0-9])0++(?=[0-9])", "")
+        short = F.regexp_replace(value, r"(?<![0-9])0+(?=[0-9])", "")
         byte = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
         return short.rlike(rf"^{byte}(?:\.{byte}){{3}}$")
     if kind == "card":

@@ -66,6 +66,18 @@ def test_contexts_find_unseen_identifiers(spark):
     assert masked[13] == unseen[1]
 
 
+def test_ip_parts_of_zeros(spark):
+    """Parts of several zeros, alone and before a number, and the sums they may not pass."""
+    texts = ["at 10.00.0.1 now", "192.168.000.001", "000.000.000.000", "00.00.00.256", "0256.1.1.1",
+             "0" * 3000 + ".0.0." + "0" * 3000 + "255", "1.002.00.0300"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in pii.find_pii(docs).collect():
+        assert text_of(row.base) == sorted(brute.spans(texts[row.doc_id], brute.PII)), texts[row.doc_id][:40]
+    masked = {r.doc_id: r.text for r in pii.mask_pii(docs).collect()}
+    assert (masked[0], masked[1], masked[2]) == ("at [IP] now", "[IP]", "[IP]")
+    assert (masked[3], masked[4], masked[5], masked[6]) == (texts[3], texts[4], "[IP]", texts[6])
+
+
 def test_digests_leave_learned_spans_out(spark, tmp_path):
     texts = [f"well then please call me at +1 555 010 {n:04d} tomorrow" for n in range(12)]
     texts.append("you may call me at 5550107777 tomorrow, or at +1 555 010 0001 later")
