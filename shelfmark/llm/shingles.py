@@ -7,8 +7,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 PIECE_BYTES = 1 << 20
+#: Bytes of text that a task works on at a time.
+SLICE_BYTES = 4 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 SPACES = np.zeros(256, bool)
@@ -34,6 +37,21 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8), bounds
 
 
+def byte_slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in slices whose texts have so many bytes, or that are of one row.
+
+    What a task works on at once is then bounded by its longest text, not by the batch.
+    """
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(batch):
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _pieces(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int]]:
     """Cuts of about a megabyte, at white space or between texts."""
     at, end = int(bounds[0]), int(bounds[-1])
