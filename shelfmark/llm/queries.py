@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfmark.llm import pii, quality, secrets_ledger, simhash, toxicity
+from shelfmark.llm.alignment import align_documents
 from shelfmark.llm.common import span_digest
 from shelfmark.llm.exact_dedup import exact_duplicates, text_digest
 from shelfmark.llm.line_dedup import MIN_CHARS, MIN_DOCS, dedup_lines
@@ -89,6 +90,11 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op12: the alignment of two tokenizers over every document."""
+    return align_documents(table(spark, sf_dir, "documents"))
+
+
 def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op13: every node of the trie of rebuilt conversations."""
     return prefix_trie(table(spark, sf_dir, "conversations"))
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": quality_scores,
     "op10_near_dup": near_dup,
     "op11_line_dedup": line_dedup,
+    "op12_alignment": alignment,
     "op13_prefix_trie": conversation_trie,
 }
 
