@@ -37,7 +37,7 @@ from shelfmark.llm.shingles import byte_slices
 from shelfmark.operators.joins import skew_join
 
 #: Bytes of text aligned at a time.
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: Slices in one task's number range.
 TASK_BITS = 32
 
@@ -136,6 +136,15 @@ def sums(values: np.ndarray, owners: np.ndarray, count: int) -> np.ndarray:
     return before[bounds[1:]] - before[bounds[:-1]]
 
 
+def common_values(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The distinct values that two ascending arrays have in common."""
+    distinct = first[np.append(True, first[1:] != first[:-1])[: len(first)]]
+    if not len(second):
+        return second
+    at = np.minimum(np.searchsorted(second, distinct), len(second) - 1)
+    return distinct[second[at] == distinct]
+
+
 def given_back(ids: np.ndarray, counts: np.ndarray, side: Vocabulary, texts: list[bytes]) -> np.ndarray:
     """Whether the bytes of each text's ids are the text's."""
     owners = np.repeat(np.arange(len(texts)), counts)
@@ -201,7 +210,7 @@ def aligned(texts: list[str], sides: Sides) -> Aligned:
     # Both sides give the same bytes, so ends are comparable over all texts at once. A token
     # without bytes would end where the one before does, and stays in that one's group.
     ends = [np.cumsum(side.sizes[i]) for i, side in zip(ids, vocabularies, strict=True)]
-    cuts = np.intersect1d(*ends)
+    cuts = common_values(*ends)
     groups_a, groups_b = (np.searchsorted(cuts, e) for e in ends)
     group_owner = np.zeros(len(cuts), np.int64)
     group_owner[groups_a] = owners[0]

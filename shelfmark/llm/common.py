@@ -48,13 +48,26 @@ def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def components(edges: DataFrame, name: str = "components", rounds: int = 50) -> DataFrame:
+def sized_join(
+    rows: DataFrame, counted: DataFrame, on: list[str], count: int, limit: int, how: str = "inner"
+) -> DataFrame:
+    """Join rows with a table whose rows are counted: by broadcast up to ``limit`` of them,
+    beyond that by a shuffle that splits hot keys."""
+    if count <= limit:
+        return rows.join(F.broadcast(counted), on, how)
+    return skew_join(rows, counted, on, how)
+
+
+def components(
+    edges: DataFrame, name: str = "components", broadcast_rows: int = 0, rounds: int = 50
+) -> DataFrame:
     """Connected components of the undirected edges ``(a, b)``: one ``(id, component)`` each.
 
     Large-star and small-star rounds: every node's larger neighbours, then its smaller
     ones, are hung under the smallest node known to it, until nothing changes. A round is
     two grouped minimums, combined before the shuffle, and two joins of edges back to
-    them, in which a hub's edges can be split. The component is its smallest id.
+    them, in which a hub's edges can be split; the minimums are broadcast while the edges,
+    which they are no more than, are up to ``broadcast_rows``. The component is its smallest id.
     """
     spark = edges.sparkSession
     current = staged(
@@ -64,18 +77,19 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 50) ->
         f"{name}-edges",
     )
     before = None
+    count = current.count()
     for _ in range(rounds):
         both = current.select("a", "b").unionAll(
             current.select(F.col("b").alias("a"), F.col("a").alias("b"))
         )
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
         large = (
-            skew_join(both.where("b > a"), lowest, ["a"], "inner")
+            sized_join(both.where("b > a"), lowest, ["a"], 2 * count, broadcast_rows)
             .select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
         )
         large = staged(large, f"{name}-large")
         under = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = skew_join(large, under, ["a"], "inner")
+        small = sized_join(large, under, ["a"], 2 * count, broadcast_rows)
         current = staged(
             small.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
             .unionAll(under.select("a", F.col("low").alias("b")))
@@ -87,7 +101,7 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 50) ->
         ).first())
         if state == before:
             break
-        before = state
+        before, count = state, state[0]
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()

@@ -4,28 +4,34 @@ Documents with the same shingle set form a class with one representative. Each o
 independent trees starts with all representatives; a node chooses, by its own hash, a
 position of the minhash signature, and branches by the tokens its documents have there.
 Small nodes are compared exhaustively by signature, larger ones branch on, by one or two
-positions, so that documents of the wanted similarity keep meeting. What is similar
-by signature forms clusters, within which links are confirmed on the full sets: all pairs of
-a cluster of bounded size; of a larger one the pairs that met in small nodes, as long as
-their documents are not linked already by way of others.
+positions, so that documents of the wanted similarity keep meeting. A document of a crowded
+node carries its signature and the list of its open nodes in one row, and branches in its task.
+Nodes that don't part are compared block against block, each document with all those that it
+is not yet connected to. What is similar by signature forms clusters, within which links are
+confirmed on the full sets: all pairs of a cluster of bounded size; of a larger one the pairs
+that met in small nodes or blocks, as long as their documents are not linked already by way
+of others.
 
 Defined results: a null text is empty; a text without words has no set and no links; equal
 sets are linked, so rows repeated or with the same words share a component. A null id is
-never a component's id while another is there. Only the id and the text are read.
+never a component's id while another is there. An empty table gives an empty result. A text of
+any length is shingled whole; a task holds one text or a slice of a few megabytes. Only the id
+and the text are read, whatever other columns are called.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.operators.joins import skew_join
-from shelfmark.llm.common import components, staged, whole
-from shelfmark.llm.shingles import mix, shingle_sets
+from shelfmark.llm.common import components, sized_join, staged, whole
+from shelfmark.llm.shingles import byte_slices, mix, shingle_sets
 
 
 @dataclass(frozen=True)
@@ -48,8 +54,8 @@ class Settings:
     small_cluster: int = 256
     #: Shingles compared in one group, and gathered in one task at a time.
     group_shingles: int = 2_000_000
-    #: Representatives to find in the documents by broadcast, 16 bytes each.
-    broadcast_rows: int = 1_000_000
+    #: Rows of a counted table that a join may broadcast, some 50 bytes each.
+    broadcast_rows: int = 500_000
 
     @property
     def threshold(self) -> float:
@@ -104,10 +110,10 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, settings: Settings) -> D
         )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            numbers = batch.column(0).to_pylist()
+        for part in (part for batch in batches for part in byte_slices(batch, 1)):
+            numbers = part.column(0).to_pylist()
             done, sets, held = 0, [], 0
-            for found in shingle_sets(batch.column(1), words):
+            for found in shingle_sets(part.column(1), words):
                 sets.append(found)
                 held += len(found)
                 if held > 100_000:
@@ -149,25 +155,38 @@ FRONTIER = "node bigint, tree int, rep bigint, n bigint, origin bigint"
 FRONTIER_NAMES = ["node", "tree", "rep", "n", "origin"]
 
 
-def descend(rows: DataFrame, steps: int, settings: Settings) -> DataFrame:
-    """Children ``steps`` levels below the nodes of ``(node, tree, rep, n, origin, tokens)``."""
+def frontier_rows(nodes: np.ndarray, trees: np.ndarray, reps, n, origins: np.ndarray | None) -> pa.RecordBatch:
+    origin = pa.nulls(len(nodes), pa.int64()) if origins is None else pa.array(origins)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(nodes.view(np.int64)), pa.array(trees.astype(np.int32)), reps, n, origin],
+        FRONTIER_NAMES,
+    )
+
+
+def descend(crowded: DataFrame, steps: int, settings: Settings) -> DataFrame:
+    """Children ``steps`` levels below the open nodes of ``(rep, n, tokens, open)``.
+
+    A document's open nodes are an array beside its one signature, and only pairs of child and
+    document leave the task.
+    """
     width, threshold = settings.tokens, settings.threshold
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                tokens = token_matrix(batch.column(5), width)
-                nodes, owners = branch(
-                    batch.column(0).to_numpy().view(np.uint64), np.arange(len(batch)), tokens,
-                    steps, threshold,
-                )
-                take = pa.array(owners)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes.view(np.int64)), *(c.take(take) for c in batch.columns[1:5])],
-                    FRONTIER_NAMES,
+            for start in range(0, len(batch), 1024):
+                part = batch.slice(start, 1024)
+                tokens = token_matrix(part.column(2), width)
+                lists = part.column(3)
+                owners = np.repeat(np.arange(len(part)), np.diff(lists.offsets.to_numpy()))
+                node, tree, origin = (x.to_numpy() for x in lists.flatten().flatten())
+                at = np.arange(len(node))
+                nodes, at = branch(node.view(np.uint64), at, tokens[owners], steps, threshold)
+                take = pa.array(owners[at])
+                yield frontier_rows(
+                    nodes, tree[at], part.column(0).take(take), part.column(1).take(take), origin[at]
                 )
 
-    return rows.select(*FRONTIER_NAMES, "tokens").mapInArrow(task, FRONTIER)
+    return crowded.select("rep", "n", "tokens", "open").mapInArrow(task, FRONTIER)
 
 
 def plant(reps: DataFrame, first: int, count: int, steps: int, settings: Settings) -> DataFrame:
@@ -182,11 +201,11 @@ def plant(reps: DataFrame, first: int, count: int, steps: int, settings: Setting
                 at = np.repeat(np.arange(len(batch)), count)
                 tokens = token_matrix(batch.column(2), width)
                 nodes, _ = branch(np.tile(roots, len(batch)), at, tokens, steps)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(nodes.view(np.int64)), pa.array(np.tile(numbers, len(batch))),
-                    batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)),
-                    pa.nulls(len(at), pa.int64()),
-                ], FRONTIER_NAMES)
+                take = pa.array(at)
+                yield frontier_rows(
+                    nodes, np.tile(numbers, len(batch)), batch.column(0).take(take),
+                    batch.column(1).take(take), None,
+                )
 
     return reps.select("rep", "n", "tokens").mapInArrow(task, FRONTIER)
 
@@ -205,24 +224,31 @@ def settle(frontier: DataFrame, settings: Settings) -> tuple[DataFrame, DataFram
         .where("size > 1"),
         "near-sizes",
     )
-    members = skew_join(frontier, sizes.where("small").select("node"), ["node"], "inner")
+    counts = sizes.groupBy().agg(
+        F.count_if("small").alias("small"), F.count_if(~F.col("small")).alias("large")
+    ).first()
+    members = sized_join(
+        frontier, sizes.where("small").select("node"), ["node"], counts.small, settings.broadcast_rows
+    )
     nodes = staged(
         members.groupBy("node").agg(
             F.sort_array(F.collect_set("rep")).alias("members"), F.min("tree").alias("tree")
         ).where(F.size("members") > 1).groupBy("members").agg(F.min("tree").alias("tree")),
         "near-nodes",
     )
-    large = sizes.where("not small").select("node", "size")
-    if large.isEmpty():
+    if not counts.large:
         return nodes, None
-    rest = skew_join(frontier, large, ["node"], "inner").withColumn(
-        "origin", F.coalesce("origin", "size")
+    large = sizes.where("not small").select("node", "size")
+    rest = sized_join(frontier, large, ["node"], counts.large, settings.broadcast_rows)
+    return nodes, staged(
+        rest.withColumn("origin", F.coalesce("origin", "size")).select(*FRONTIER_NAMES, "size"),
+        "near-large",
     )
-    return nodes, staged(rest.select(*FRONTIER_NAMES, "size"), "near-large")
 
 
-def small_nodes(reps: DataFrame, settings: Settings) -> DataFrame:
-    """The distinct small nodes of all trees: ``(gid, tree, members)``.
+def small_nodes(reps: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame | None]:
+    """The distinct small nodes of all trees, ``(gid, tree, members)``, and the rows
+    ``(node, rep, n)`` of nodes that did not part.
 
     Nodes of one are done with. Nodes too large to compare branch on, two levels at a time,
     and their documents get more trees; only these documents' signatures are read again. As
@@ -230,15 +256,19 @@ def small_nodes(reps: DataFrame, settings: Settings) -> DataFrame:
     ``first_depth`` still meets d levels below in about one tree of 1 + d / 7. Where a node
     keeps more of its documents than the root of the threshold a level, two of them are as
     alike as the wanted pairs (``dense``): it gains nothing from branching, and its rows would
-    only multiply. Like those left at ``max_depth`` it is compared in overlapping blocks.
+    only multiply. Like those left at ``max_depth`` it is compared in blocks.
     """
     depth = settings.first_depth
     nodes, rest = settle(plant(reps, 0, settings.trees, depth, settings), settings)
     kept = [nodes]
+    stuck: list[DataFrame] = []
     if rest is not None:
+        wanted = staged(rest.select("rep").distinct(), "near-wanted")
         crowded = staged(
-            reps.select("rep", "n", "tokens")
-            .join(rest.select("rep").distinct(), "rep", "left_semi"),
+            sized_join(
+                reps.select("rep", "n", "tokens"), wanted, ["rep"], wanted.count(),
+                settings.broadcast_rows,
+            ),
             "near-crowded",
         )
         more, larger = settle(
@@ -246,47 +276,85 @@ def small_nodes(reps: DataFrame, settings: Settings) -> DataFrame:
         )
         kept.append(more)
         rest = rest if larger is None else rest.unionAll(larger.select(*rest.columns))
-        tokens = crowded.select("rep", "tokens")
-        stuck = None
         while rest is not None and depth < settings.max_depth:
             steps = min(settings.step, settings.max_depth - depth)
             depth += steps
-            more, rest = settle(
-                descend(skew_join(rest, tokens, ["rep"], "inner"), steps, settings), settings
+            open_nodes = staged(
+                rest.groupBy("rep").agg(F.collect_list(F.struct("node", "tree", "origin")).alias("open")), "near-open"
             )
+            more, rest = settle(descend(
+                sized_join(crowded, open_nodes, ["rep"], open_nodes.count(), settings.broadcast_rows // 10),
+                steps, settings,
+            ), settings)
             kept.append(more)
             levels = depth - settings.first_depth
             if rest is not None and levels >= 4:
                 dense = F.col("size") > settings.threshold ** (levels / 2) * F.col("origin")
-                found = rest.where(dense)
-                stuck = found if stuck is None else stuck.unionAll(found)
+                stuck.append(rest.where(dense))
                 rest = rest.where(~dense)
                 rest = None if rest.isEmpty() else rest
         if rest is not None:
-            stuck = rest if stuck is None else stuck.unionAll(rest)
-        if stuck is not None and not stuck.isEmpty():
-            kept.append(runs(stuck, settings).select(*nodes.columns))
-    found = kept[0]
-    for more in kept[1:]:
-        found = found.unionAll(more)
-    return staged(
-        found.groupBy("members").agg(F.min("tree").alias("tree"))
+            stuck.append(rest)
+    groups = staged(
+        reduce(DataFrame.unionAll, kept).groupBy("members").agg(F.min("tree").alias("tree"))
         .select(F.xxhash64("members").alias("gid"), "tree", "members"),
         "near-groups",
     )
+    if not stuck:
+        return groups, None
+    left = staged(reduce(DataFrame.unionAll, stuck).select("node", "rep", "n"), "near-stuck")
+    return groups, None if left.isEmpty() else left
+
+
+def block_of(salt: int, blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("rep", F.lit(salt)), blocks)
+
+
+def within_blocks(stuck: DataFrame, settings: Settings) -> DataFrame:
+    """``(gid, rep)``: the rows of each node that did not part, dealt to blocks by hash."""
+    sizes = stuck.groupBy("node").agg(F.count("*").alias("size"))
+    blocks = F.ceil(F.col("size") / (settings.small_node // 2)).cast("long")
+    return skew_join(stuck, sizes, ["node"], "inner").select(
+        F.xxhash64(F.lit("block"), "node", block_of(0, blocks)).alias("gid"), "rep"
+    )
 
 
-def runs(rest: DataFrame, settings: Settings) -> DataFrame:
-    """Groups of bounded size from nodes that would not split: blocks of each node by hash.
+def across_blocks(stuck: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+    """``(gid, rep)``: groups in which all rows of a node meet that have different labels.
 
-    Each node is cut with three salts, and a block of one salt links those of another.
+    Of two such rows one at least has not the node's most frequent label. Those rows, in
+    slices, are compared with each block of all rows; a node of one label is done with.
     """
-    size = settings.small_node // 2
-    salted = rest.withColumn("salt", F.explode(F.array(*map(F.lit, range(3)))))
-    block = F.pmod(F.xxhash64("rep", "salt"), F.ceil(F.col("size") / size))
-    return salted.groupBy("node", "salt", block.alias("block")).agg(
-        F.sort_array(F.collect_set("rep")).alias("members"), F.min("tree").alias("tree")
-    ).where(F.size("members") > 1).select("members", "tree")
+    rows = staged(
+        stuck.select("node", "rep").join(labels, "rep", "left").withColumn(
+            "label", F.coalesce("label", "rep")
+        ),
+        "near-stuck-labels",
+    )
+    of_label = rows.groupBy("node", "label").agg(F.count("*").alias("count"))
+    nodes = of_label.groupBy("node").agg(
+        F.max_by("label", F.struct("count", "label")).alias("most"), F.sum("count").alias("size"),
+        (F.sum("count") - F.max("count")).alias("others"),
+    ).where("others > 0")
+    half = settings.small_node // 2
+    blocks, slices = (F.ceil(F.col(c) / half).cast("long") for c in ("size", "others"))
+    dealt = staged(
+        skew_join(rows, nodes, ["node"], "inner").select(
+            "node", "rep", (F.col("label") != F.col("most")).alias("other"),
+            blocks.alias("blocks"), slices.alias("slices"),
+        ),
+        "near-dealt",
+    )
+    last = {c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1) for c in ("blocks", "slices")}
+    every = dealt.select(
+        "node", "rep", block_of(0, F.col("blocks")).alias("block"), F.explode(last["slices"]).alias("slice")
+    )
+    others = dealt.where("other").select(
+        "node", "rep", F.explode(last["blocks"]).alias("block"), block_of(1, F.col("slices")).alias("slice")
+    )
+    return every.unionAll(others).select(
+        F.xxhash64(F.lit("blocks"), "node", "block", "slice").alias("gid"), "rep"
+    )
 
 
 def spanning(adjacent: np.ndarray) -> list[tuple[int, int]]:
@@ -347,7 +415,8 @@ def crossing(tokens: np.ndarray, labels: np.ndarray, least: int) -> list[int]:
 def by_group(rows: DataFrame, buckets: int, schema: str, found_in) -> DataFrame:
     """Run ``found_in`` on each group of rows with the same ``gid``, many groups to a task.
 
-    It gets the sorted representatives and the other columns, and gives rows of two numbers.
+    It gets the sorted representatives, each once, and the other columns, and gives rows of
+    numbers.
     """
     others = [name for name in rows.columns if name not in ("gid", "rep")]
     names = [field.split()[0] for field in schema.split(", ")]
@@ -355,6 +424,10 @@ def by_group(rows: DataFrame, buckets: int, schema: str, found_in) -> DataFrame:
     def task(table: pa.Table) -> pa.Table:
         table = table.sort_by([("gid", "ascending"), ("rep", "ascending")]).combine_chunks()
         gids, reps = table.column("gid").to_numpy(), table.column("rep").to_numpy()
+        again = np.append(False, (gids[1:] == gids[:-1]) & (reps[1:] == reps[:-1]))
+        if again.any():
+            table = table.filter(pa.array(~again)).combine_chunks()
+            gids, reps = gids[~again], reps[~again]
         columns = [table.column(name) for name in others]
         bounds = np.flatnonzero(np.append(True, gids[1:] != gids[:-1])).tolist() + [len(gids)]
         found = [
@@ -363,7 +436,7 @@ def by_group(rows: DataFrame, buckets: int, schema: str, found_in) -> DataFrame:
                 gids[start], reps[start:stop], *(c.slice(start, stop - start) for c in columns)
             )
         ]
-        numbers = np.array(found, np.int64).reshape(-1, 2)
+        numbers = np.array(found, np.int64).reshape(-1, len(names))
         return pa.table({name: numbers[:, place] for place, name in enumerate(names)})
 
     bucket = F.pmod(F.xxhash64("gid"), F.lit(buckets))
@@ -387,31 +460,40 @@ def likely_links(signed: DataFrame, rows: int, settings: Settings) -> DataFrame:
 
 
 def left_apart(signed: DataFrame, rows: int, settings: Settings) -> DataFrame:
-    """The rows ``(gid, rep)`` similar by signature to one of another ``label`` in their group."""
+    """The rows ``(gid, rep, n)`` similar by signature to one of another ``label`` in their group."""
     width, least = settings.tokens, settings.least_matches
 
-    def found_in(gid, reps, tokens, labels):
+    def found_in(gid, reps, tokens, labels, sizes):
         apart = crossing(token_matrix(tokens, width), labels.to_numpy(), least)
-        return [(gid, reps[at]) for at in apart]
+        return [(gid, reps[at], sizes[at].as_py()) for at in apart]
 
-    return by_group(signed, max(1, rows // GROUP_ROWS), "gid bigint, rep bigint", found_in)
+    return by_group(
+        signed.select("gid", "rep", "tokens", "label", "n"), max(1, rows // GROUP_ROWS),
+        "gid bigint, rep bigint, n bigint", found_in,
+    )
 
 
-def confirmed_links(members: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs ``(a, b)`` that connect what is linked on full sets in each group."""
+def confirmed_links(shingled: DataFrame, volume: int, settings: Settings) -> DataFrame:
+    """Pairs ``(a, b)`` that connect what is linked on full sets in each group of
+    ``(gid, rep, shingles)``, of so many shingles in all."""
     percent = settings.percent
-    volume = members.agg(F.sum("n")).first()[0] or 0
 
     def found_in(_, reps, shingles):
         values = [np.frombuffer(value.as_buffer(), np.uint64) for value in shingles]
         return [(reps[a], reps[b]) for a, b in spanning(linked_sets(values, percent))]
 
     return by_group(
-        members.select("gid", "rep").join(sets, "rep"),
-        max(1, volume // settings.group_shingles), "a bigint, b bigint", found_in,
+        shingled.select("gid", "rep", "shingles"), max(1, volume // settings.group_shingles),
+        "a bigint, b bigint", found_in,
     ).distinct()
 
 
+def total(members: DataFrame) -> tuple[int, int]:
+    """Rows and shingles of ``(gid, rep, n)``."""
+    row = members.agg(F.count("*").alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    return row.rows, row.n
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
@@ -425,23 +507,35 @@ def near_duplicates(
         "near-classes",
     )
     reps = classes.where("rep is not null")
-    groups = small_nodes(reps, settings)
+    groups, stuck = small_nodes(reps, settings)
     met = groups.select("gid", "tree", F.explode("members").alias("rep"))
-    signed = staged(
-        met.join(reps.select("rep", "tokens"), "rep").select("gid", "tree", "rep", "tokens"),
-        "near-signed",
-    )
-    rows = signed.count()
-    alike = likely_links(signed.select("gid", "rep", "tokens"), rows, settings)
-    clusters = components(alike, "near-alike")
+    if stuck is not None:
+        met = met.unionAll(within_blocks(stuck, settings).select("gid", F.lit(0).alias("tree"), "rep"))
+    signed, rows = with_signatures(met, reps, settings)
+    alike = staged(likely_links(signed.select("gid", "rep", "tokens"), rows, settings), "near-likely")
+    clusters = components(alike, "near-alike", settings.broadcast_rows)
+    if stuck is not None:
+        labels = clusters.select(F.col("id").alias("rep"), F.col("component").alias("label"))
+        further, many = with_signatures(across_blocks(stuck, labels, settings), reps, settings)
+        alike = alike.unionAll(likely_links(further, many, settings))
+        clusters = components(alike, "near-alike", settings.broadcast_rows)
     known, large = sized_clusters(clusters, reps, settings)
-    sets = staged(full_sets(docs, id_col, text_col, known, settings), "near-sets")
-    linked = components(
-        links_within(known, large, signed, sets, rows, settings), "near-links"
+    links = links_of_clusters(known, docs, id_col, text_col, settings)
+    if large:
+        links = links.unionAll(links_of_crowds(
+            known, signed, rows, stuck, reps, (docs, id_col, text_col), settings
+        ))
+    linked = components(links, "near-links", settings.broadcast_rows)
+    named = staged(
+        linked.select(F.col("id").alias("rep"), "component").join(
+            classes.select("set_key", "rep"), "rep"
+        ).select("set_key", "component"),
+        "near-named",
+    )
+    # Of a class without links the component is its own least id.
+    named = classes.select("set_key", "rep").join(named, "set_key", "left").select(
+        "set_key", F.coalesce("component", "rep").alias("component")
     )
-    named = classes.select("set_key", "rep").join(
-        linked.select(F.col("id").alias("rep"), "component"), "rep", "left"
-    ).select("set_key", F.coalesce("component", "rep").alias("component"))
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return skew_join(
         sketched.select("doc_id", "n_shingles", "set_key"), named, ["set_key"], "left"
@@ -451,14 +545,24 @@ def near_duplicates(
     )
 
 
+def with_signatures(met: DataFrame, reps: DataFrame, settings: Settings) -> tuple[DataFrame, int]:
+    """The rows of ``met`` with their representative's signature, and how many there are."""
+    met = staged(met, "near-met")
+    rows = met.count()
+    tokens = reps.select("rep", "tokens")
+    return staged(sized_join(tokens, met, ["rep"], rows, settings.broadcast_rows), "near-signed"), rows
+
+
 def sized_clusters(
     clusters: DataFrame, reps: DataFrame, settings: Settings
 ) -> tuple[DataFrame, bool]:
     """``(rep, component, set_key, n, fits)`` of the clusters, and whether any is too large
     to compare as one group."""
+    named = staged(clusters.select(F.col("id").alias("rep"), "component"), "near-clustered")
     known = staged(
-        clusters.select(F.col("id").alias("rep"), "component")
-        .join(reps.select("rep", "set_key", "n"), "rep"),
+        sized_join(
+            reps.select("rep", "set_key", "n"), named, ["rep"], named.count(), settings.broadcast_rows
+        ),
         "near-known",
     )
     fits = (F.count("*") <= settings.small_cluster) & (
@@ -469,79 +573,115 @@ def sized_clusters(
     return known, not known.where("not fits").isEmpty()
 
 
-def links_within(
-    known: DataFrame, large: bool, signed: DataFrame, sets: DataFrame, rows: int,
-    settings: Settings,
+def links_of_clusters(
+    known: DataFrame, docs: DataFrame, id_col: str, text_col: str, settings: Settings
+) -> DataFrame:
+    """Pairs that connect what is linked in clusters of bounded size, each compared as one
+    group: the sets go straight from their texts to the one group they are in."""
+    fitting = known.where("fits").select(
+        F.xxhash64(F.lit("cluster"), "component").alias("gid"), "rep", "set_key", "n"
+    )
+    volume = total(fitting)[1]
+    sets = full_sets(docs, id_col, text_col, fitting, settings)
+    return staged(confirmed_links(sets, volume, settings), "near-cluster-links")
+
+
+def links_of_crowds(
+    known: DataFrame, signed: DataFrame, rows: int, stuck: DataFrame | None, reps: DataFrame,
+    texts: tuple[DataFrame, str, str], settings: Settings,
 ) -> DataFrame:
-    """Pairs that connect whatever is linked on full sets.
+    """Pairs that connect what is linked in clusters too large for one group.
 
-    A cluster of bounded size is compared as one group. A larger one is compared in the
-    nodes of the first trees; then, in the nodes of all trees, what is similar by signature
-    but not yet connected.
+    A cluster is compared in the nodes of the first trees; then, in all nodes and between the
+    blocks of nodes that did not part, what is similar by signature but not yet connected.
     """
-    at_once = known.where("fits").select(
-        F.xxhash64(F.lit("cluster"), "component").alias("gid"), "rep", "n"
-    )
-    if not large:
-        return confirmed_links(staged(at_once, "near-members"), sets, settings)
-    crowded = known.where("not fits").select("rep", "component", "n")
-    by_node = signed.where(F.col("tree") < settings.first_trees).select("gid", "rep").join(
-        crowded, "rep"
-    ).select(F.xxhash64("gid", "component").alias("gid"), "rep", "n")
-    first = staged(at_once.unionAll(by_node), "near-members")
-    links = staged(confirmed_links(first, sets, settings), "near-first-links")
-    labels = components(links, "near-first").select(F.col("id").alias("rep"), "component")
-    labelled = crowded.select("rep", "n").join(labels, "rep", "left").select(
-        "rep", "n", F.coalesce("component", "rep").alias("label")
+    crowds = staged(known.where("not fits").select("rep", "component", "set_key", "n"), "near-crowds")
+    count = crowds.count()
+    sets = staged(full_sets(
+        *texts, crowds.select(F.lit(0).cast("long").alias("gid"), "rep", "set_key"), settings
+    ).drop("gid"), "near-sets")
+
+    def confirmed(members: DataFrame, name: str) -> DataFrame:
+        members = staged(members, name)
+        many, volume = total(members)
+        shingled = sized_join(sets, members.drop("n"), ["rep"], many, settings.broadcast_rows)
+        return staged(confirmed_links(shingled, volume, settings), f"{name}-links")
+
+    by_node = sized_join(
+        signed.where(F.col("tree") < settings.first_trees).select("gid", "rep"),
+        crowds.select("rep", "component", "n"), ["rep"], count, settings.broadcast_rows,
     )
+    links = confirmed(by_node.select(F.xxhash64("gid", "component").alias("gid"), "rep", "n"), "near-first")
+
+    def labelled(links: DataFrame) -> DataFrame:
+        labels = components(links, "near-labels", settings.broadcast_rows).select(
+            F.col("id").alias("rep"), F.col("component").alias("label")
+        )
+        return staged(crowds.select("rep", "n").join(labels, "rep", "left").select(
+            "rep", "n", F.coalesce("label", "rep").alias("label")
+        ), "near-labelled")
+
+    labels = labelled(links)
     apart = left_apart(
-        signed.join(labelled.drop("n"), "rep").select("gid", "rep", "tokens", "label"), rows, settings
+        sized_join(signed.select("gid", "rep", "tokens"), labels, ["rep"], count, settings.broadcast_rows),
+        rows, settings,
     )
-    more = apart.join(labelled.select("rep", "n"), "rep").select("gid", "rep", "n")
-    return links.unionAll(confirmed_links(staged(more, "near-apart"), sets, settings))
+    links = links.unionAll(confirmed(apart, "near-apart"))
+    if stuck is not None:
+        labels = labelled(links)
+        known_stuck = sized_join(stuck.select("node", "rep"), labels.select("rep"), ["rep"], count, settings.broadcast_rows)
+        met = across_blocks(known_stuck, labels.select("rep", "label"), settings)
+        further, many = with_signatures(met, reps, settings)
+        apart = left_apart(sized_join(further, labels, ["rep"], count, settings.broadcast_rows), many, settings)
+        links = links.unionAll(confirmed(apart, "near-blocks"))
+    return links
 
 
 def full_sets(
     docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, settings: Settings
 ) -> DataFrame:
-    """The shingles of the wanted representatives, read again from their texts.
+    """``(gid, rep, shingles)`` of the wanted ``(gid, rep, set_key)``, read again from the texts.
 
     Where the representatives are few enough they are broadcast, and only their texts
-    leave the scan. A row that shares a representative's id but not its set is left out.
+    leave the scan. A row that shares a representative's id but not its set is left out; where
+    ids are repeated with their sets, one row of them is kept.
     """
     words = settings.words
-    wanted = wanted.select("rep", "set_key")
-    if wanted.count() <= settings.broadcast_rows:
-        wanted = F.broadcast(wanted)
+    wanted = staged(wanted.select("gid", "rep", "set_key"), "near-texts")
+    count = wanted.count()
+    ids = docs.select(F.col(id_col).cast("long").alias("rep"))
+    found_rows = sized_join(ids, wanted.select("rep"), ["rep"], count, settings.broadcast_rows).count()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            reps, keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+        for part in (part for batch in batches for part in byte_slices(batch, 1)):
+            gids, reps, keys = (part.column(place).to_pylist() for place in (3, 0, 2))
             rows, held = [], 0
-            for rep, key, found in zip(reps, keys, shingle_sets(batch.column(1), words), strict=True):
+            for gid, rep, key, found in zip(gids, reps, keys, shingle_sets(part.column(1), words), strict=True):
                 halves = [int(mix(found ^ np.uint64(salt)).sum(dtype=np.uint64)) for salt in (1, 2)]
                 if np.array(halves, np.uint64).tobytes() == key:
-                    rows.append((rep, found.tobytes()))
+                    rows.append((gid, rep, found.tobytes()))
                     held += len(found)
-                if held > 1_000_000:
+                if held > 250_000:
                     yield made(rows)
                     rows, held = [], 0
             if rows:
                 yield made(rows)
 
-    def made(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        first, second = zip(*rows, strict=True)
+    def made(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        gids, reps, sets = zip(*rows, strict=True)
         return pa.RecordBatch.from_arrays(
-            [pa.array(first, pa.int64()), pa.array(second, pa.binary())], ["rep", "shingles"]
+            [pa.array(gids, pa.int64()), pa.array(reps, pa.int64()), pa.array(sets, pa.binary())],
+            ["gid", "rep", "shingles"],
         )
 
     text: Column = whole(F.col(text_col))
+    texts = docs.select(F.col(id_col).cast("long").alias("rep"), text.alias("text"))
     found = (
-        docs.select(F.col(id_col).cast("long").alias("rep"), text.alias("text"))
-        .join(wanted, "rep").select("rep", "text", "set_key")
-        .mapInArrow(task, "rep bigint, shingles binary")
+        sized_join(texts, wanted, ["rep"], count, settings.broadcast_rows)
+        .select("rep", "text", "set_key", "gid")
+        .mapInArrow(task, "gid bigint, rep bigint, shingles binary")
     )
-    return found.dropDuplicates(["rep"])
+    return found if found_rows <= count else found.dropDuplicates(["gid", "rep"])
 
 
 def keep_one_of_each(

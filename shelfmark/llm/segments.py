@@ -22,7 +22,8 @@ WHITE_SPACE = (
 )
 # Texts are worked on in pieces of about so many code points.
 PIECE_CHARS = 1 << 19
-KEPT_SEGMENTS = 1 << 21
+#: Bytes that the store of known segments takes before it is emptied.
+KEPT_BYTES = 48 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -103,14 +104,24 @@ def segment_hashes(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 class HashPlaces:
-    """Numbers of known hashes: an open table looked up and filled for whole arrays at once."""
+    """Numbers of known hashes: an open table looked up and filled for whole arrays at once.
 
-    def __init__(self, limit: int):
-        size = 1 << (2 * limit - 1).bit_length()
+    It doubles whenever it would get more than half full.
+    """
+
+    def __init__(self, room: int):
+        self.known = 0
+        self._open(1 << (2 * room - 1).bit_length())
+
+    def _open(self, size: int) -> None:
         self.mask = np.uint64(size - 1)
         self.keys = np.zeros(size, np.uint64)
         self.places = np.full(size, -1, np.int32)
 
+    @property
+    def nbytes(self) -> int:
+        return self.keys.nbytes + self.places.nbytes
+
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The number of each hash, -1 where unknown."""
         slots = (hashes & self.mask).astype(np.int64)
@@ -126,7 +137,15 @@ class HashPlaces:
 
     def add(self, hashes: np.ndarray, first: int) -> None:
         """Number distinct unknown hashes from ``first`` on."""
-        numbers = np.arange(first, first + len(hashes), dtype=np.int32)
+        self.known += len(hashes)
+        if 2 * self.known > len(self.keys):
+            filled = self.places >= 0
+            keys, numbers = self.keys[filled], self.places[filled]
+            self._open(1 << (2 * self.known - 1).bit_length())
+            self._fill(keys, numbers)
+        self._fill(hashes, np.arange(first, first + len(hashes), dtype=np.int32))
+
+    def _fill(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
         slots = (hashes & self.mask).astype(np.int64)
         left = np.arange(len(hashes))
         while len(left):
@@ -146,26 +165,31 @@ class SegmentEncoder:
     """Ids of texts by way of their distinct segments.
 
     ``encode`` gives the ids of each of a list of segments, called once per distinct
-    segment as long as it is kept; the store is emptied when it grows past its limit.
+    segment as long as it is kept; the store is emptied when what a piece adds could take it
+    past its bytes. A single piece's segments are always kept until the piece is done.
     """
 
     def __init__(
         self,
         find_starts: Callable[[np.ndarray, np.ndarray], np.ndarray],
         encode: Callable[[list[str]], Sequence[Sequence[int]]],
-        limit: int = KEPT_SEGMENTS,
+        kept_bytes: int = KEPT_BYTES,
     ):
-        self.find_starts, self.encode, self.limit = find_starts, encode, limit
+        self.find_starts, self.encode, self.kept_bytes = find_starts, encode, kept_bytes
         self.forget()
 
     def forget(self) -> None:
         self.known = 0
-        self.places = HashPlaces(self.limit)
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.offsets = np.zeros(1 << 16, np.int64)
-        self.sizes = np.zeros(1 << 16, np.int64)
+        self.places = HashPlaces(1 << 12)
+        self.ids = np.zeros(1 << 12, np.uint32)
+        self.offsets = np.zeros(1 << 12, np.int64)
+        self.sizes = np.zeros(1 << 12, np.int64)
         self.used = 0
 
+    @property
+    def nbytes(self) -> int:
+        return sum(kept.nbytes for kept in (self.places, self.ids, self.offsets, self.sizes))
+
     def _learn(self, hashes: np.ndarray, segments: list[str]) -> None:
         known, new = self.known, self.known + len(segments)
         encoded = self.encode(segments)
@@ -197,7 +221,7 @@ class SegmentEncoder:
         if (places < 0).any():
             unknown = np.flatnonzero(places < 0)
             distinct, first = np.unique(hashes[unknown], return_index=True)
-            if self.known + len(distinct) > self.limit:
+            if self.known and self.nbytes > self.kept_bytes:
                 self.forget()
                 unknown = np.arange(len(hashes))
                 distinct, first = np.unique(hashes, return_index=True)

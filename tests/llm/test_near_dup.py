@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import brute
 from conftest import ROWS
 from shelfmark.llm.common import components
-from shelfmark.llm.shingles import shingle_sets
+from shelfmark.llm.shingles import byte_slices, shingle_sets
 from shelfmark.llm.near_dup import (
     Settings, keep_one_of_each, linked_sets, near_duplicates, small_nodes, spanning,
 )
@@ -64,21 +64,56 @@ def test_pairs_of_a_crowded_source_keep_meeting(spark):
             tokens = np.where(own, rng.integers(0, 1 << 16, 128), base).astype(np.uint16)
             rows.append((source * 1000 + number, 100, tokens.tobytes()))
     reps = spark.createDataFrame(rows, "rep long, n long, tokens binary")
-    groups = small_nodes(reps, Settings(percent=85, small_node=32)).select("members").collect()
+    groups = small_nodes(reps, Settings(percent=85, small_node=32))[0].select("members").collect()
     met = {a for r in groups for a in r.members if a % 1000 == 0 and a + 1 in r.members}
     assert len(met) >= 39
 
 
-def test_documents_that_never_part_are_compared_in_blocks(spark):
+@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
+def test_documents_that_never_part_are_compared_block_by_block(spark, broadcast_rows):
     texts = chain(120)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     settings = Settings(
-        words=3, percent=85, small_node=20, small_cluster=20, max_depth=1, first_depth=1
+        words=3, percent=85, small_node=20, small_cluster=20, max_depth=1, first_depth=1,
+        broadcast_rows=broadcast_rows,
     )
-    rows = got(near_duplicates(docs, settings=settings))
-    found, want = ({k: v[1] for k, v in x.items()} for x in (rows, wanted(texts, 3, 85)))
-    assert sum(found[k] == want[k] for k in want) >= 0.9 * len(want)
-    assert all(want[a] == want[found[a]] for a in want)  # no link that isn't there
+    assert got(near_duplicates(docs, settings=settings)) == wanted(texts, 3, 85)
+
+
+def test_blocks_of_many_families(spark):
+    """One node that never parts, of small families that only blocks against blocks bring together."""
+    rng = random.Random(9)
+    texts = {}
+    for family in range(150):
+        base = [f"w{rng.randrange(4000)}" for _ in range(120)]
+        for member in range(3):
+            words = list(base)
+            words[rng.randrange(120)] = f"m{member}"
+            texts[len(texts)] = " ".join(words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    settings = Settings(
+        words=3, percent=85, small_node=40, trees=1, more_trees=0, max_depth=0, first_depth=0,
+    )
+    assert got(near_duplicates(docs, settings=settings)) == wanted(texts, 3, 85)
+
+
+def test_a_large_batch_is_hashed_in_slices():
+    """What is held while a batch of long texts is shingled does not grow with the batch."""
+    import tracemalloc
+
+    def peak(texts):
+        batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+        tracemalloc.start()
+        for part in byte_slices(batch, 0, 1 << 18):
+            for _ in shingle_sets(part.column(0), 3):
+                pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    text = " ".join(f"w{i}" for i in range(9_000))
+    peak([text])  # tables that are kept
+    assert peak([text] * 200) < 1.2 * peak([text] * 20)
 
 
 def test_edges(edge_docs, empty_docs):
