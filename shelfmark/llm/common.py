@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfmark.operators.joins import skew_join
@@ -58,24 +61,69 @@ def sized_join(
     return skew_join(rows, counted, on, how)
 
 
+#: Edges that one task brings down to a forest.
+FOREST_EDGES = 250_000
+
+
+def least_reachable(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct nodes of some edges, and the least node that each is connected to."""
+    nodes, places = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right = places[: len(a)], places[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[left], label[right])
+        least = label.copy()
+        for side in (left, right):
+            np.minimum.at(least, side, low)
+            np.minimum.at(least, label[side], low)
+        while (least != least[least]).any():
+            least = least[least]
+        if (least == label).all():
+            return nodes, nodes[label]
+        label = least
+
+
+def forest(edges: DataFrame, tasks: int) -> DataFrame:
+    """Edges ``(a, b)`` that connect the same nodes: each task of some edges gives one per node,
+    to the least node that it is connected to there."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(x.column(0).to_numpy(), x.column(1).to_numpy()) for x in batches if len(x)]
+        if held:
+            nodes, least = least_reachable(*(np.concatenate(side) for side in zip(*held, strict=True)))
+            hung = nodes != least
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[hung]), pa.array(least[hung])], ["a", "b"])
+
+    return edges.select("a", "b").repartition(tasks).mapInArrow(task, "a bigint, b bigint")
+
+
 def components(
-    edges: DataFrame, name: str = "components", broadcast_rows: int = 0, rounds: int = 50
+    edges: DataFrame, name: str = "components", broadcast_rows: int = 0,
+    forest_edges: int = FOREST_EDGES, rounds: int = 50,
 ) -> DataFrame:
     """Connected components of the undirected edges ``(a, b)``: one ``(id, component)`` each.
 
-    Large-star and small-star rounds: every node's larger neighbours, then its smaller
-    ones, are hung under the smallest node known to it, until nothing changes. A round is
-    two grouped minimums, combined before the shuffle, and two joins of edges back to
-    them, in which a hub's edges can be split; the minimums are broadcast while the edges,
-    which they are no more than, are up to ``broadcast_rows``. The component is its smallest id.
+    Edges are brought down to a forest first, in tasks of a bounded number of them. If that
+    takes one task only, its trees are the components; else ``star_rounds`` join them. The
+    component is its smallest id.
+    """
+    current = staged(edges.where("a <> b").select("a", "b"), f"{name}-edges")
+    tasks = max(1, -(-current.count() // forest_edges))
+    current = staged(forest(current, tasks), f"{name}-forest")
+    if tasks > 1:
+        current = star_rounds(current, name, broadcast_rows, rounds)
+    roots = current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
+    return current.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(roots)
+
+
+def star_rounds(current: DataFrame, name: str, broadcast_rows: int, rounds: int) -> DataFrame:
+    """Edges from each node to the least node of its component, by large-star and small-star.
+
+    Every node's larger neighbours, then its smaller ones, are hung under the smallest node
+    known to it, until nothing changes. A round is two grouped minimums, combined before the
+    shuffle, and two joins of edges back to them, in which a hub's edges can be split; the
+    minimums, two per edge at most, are broadcast up to ``broadcast_rows``.
     """
-    spark = edges.sparkSession
-    current = staged(
-        edges.where("a <> b").select(
-            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-        ).distinct(),
-        f"{name}-edges",
-    )
     before = None
     count = current.count()
     for _ in range(rounds):
@@ -100,12 +148,9 @@ def components(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first())
         if state == before:
-            break
+            return current
         before, count = state, state[0]
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    roots = current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
-    return current.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(roots)
+    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 def span_text(spans: Column, kinds: list[str]) -> Column:

@@ -211,7 +211,7 @@ def plant(reps: DataFrame, first: int, count: int, steps: int, settings: Setting
 
 
 def settle(frontier: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame | None]:
-    """The small nodes as sorted arrays of representatives, and the rows of larger ones.
+    """The rows ``(node, tree, rep)`` of small nodes, and the rows of larger ones.
 
     ``origin`` is the size that a large row's node had when its tree was planted.
     """
@@ -229,18 +229,12 @@ def settle(frontier: DataFrame, settings: Settings) -> tuple[DataFrame, DataFram
     ).first()
     members = sized_join(
         frontier, sizes.where("small").select("node"), ["node"], counts.small, settings.broadcast_rows
-    )
-    nodes = staged(
-        members.groupBy("node").agg(
-            F.sort_array(F.collect_set("rep")).alias("members"), F.min("tree").alias("tree")
-        ).where(F.size("members") > 1).groupBy("members").agg(F.min("tree").alias("tree")),
-        "near-nodes",
-    )
+    ).select("node", "tree", "rep")
     if not counts.large:
-        return nodes, None
+        return members, None
     large = sizes.where("not small").select("node", "size")
     rest = sized_join(frontier, large, ["node"], counts.large, settings.broadcast_rows)
-    return nodes, staged(
+    return members, staged(
         rest.withColumn("origin", F.coalesce("origin", "size")).select(*FRONTIER_NAMES, "size"),
         "near-large",
     )
@@ -259,8 +253,8 @@ def small_nodes(reps: DataFrame, settings: Settings) -> tuple[DataFrame, DataFra
     only multiply. Like those left at ``max_depth`` it is compared in blocks.
     """
     depth = settings.first_depth
-    nodes, rest = settle(plant(reps, 0, settings.trees, depth, settings), settings)
-    kept = [nodes]
+    members, rest = settle(plant(reps, 0, settings.trees, depth, settings), settings)
+    kept = [members]
     stuck: list[DataFrame] = []
     if rest is not None:
         wanted = staged(rest.select("rep").distinct(), "near-wanted")
@@ -295,8 +289,11 @@ def small_nodes(reps: DataFrame, settings: Settings) -> tuple[DataFrame, DataFra
                 rest = None if rest.isEmpty() else rest
         if rest is not None:
             stuck.append(rest)
+    nodes = reduce(DataFrame.unionAll, kept).groupBy("node").agg(
+        F.sort_array(F.collect_set("rep")).alias("members"), F.min("tree").alias("tree")
+    ).where(F.size("members") > 1)
     groups = staged(
-        reduce(DataFrame.unionAll, kept).groupBy("members").agg(F.min("tree").alias("tree"))
+        nodes.groupBy("members").agg(F.min("tree").alias("tree"))
         .select(F.xxhash64("members").alias("gid"), "tree", "members"),
         "near-groups",
     )
@@ -311,16 +308,17 @@ def block_of(salt: int, blocks: Column) -> Column:
 
 
 def within_blocks(stuck: DataFrame, settings: Settings) -> DataFrame:
-    """``(gid, rep)``: the rows of each node that did not part, dealt to blocks by hash."""
+    """``(gid, tree, rep)``: the rows of each node that did not part, dealt to blocks by hash."""
     sizes = stuck.groupBy("node").agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / (settings.small_node // 2)).cast("long")
     return skew_join(stuck, sizes, ["node"], "inner").select(
-        F.xxhash64(F.lit("block"), "node", block_of(0, blocks)).alias("gid"), "rep"
+        F.xxhash64(F.lit("block"), "node", block_of(0, blocks)).alias("gid"),
+        F.lit(0).alias("tree"), "rep",
     )
 
 
 def across_blocks(stuck: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
-    """``(gid, rep)``: groups in which all rows of a node meet that have different labels.
+    """``(gid, tree, rep)``: groups in which all rows of a node meet that have different labels.
 
     Of two such rows one at least has not the node's most frequent label. Those rows, in
     slices, are compared with each block of all rows; a node of one label is done with.
@@ -353,7 +351,8 @@ def across_blocks(stuck: DataFrame, labels: DataFrame, settings: Settings) -> Da
         "node", "rep", F.explode(last["blocks"]).alias("block"), block_of(1, F.col("slices")).alias("slice")
     )
     return every.unionAll(others).select(
-        F.xxhash64(F.lit("blocks"), "node", "block", "slice").alias("gid"), "rep"
+        F.xxhash64(F.lit("blocks"), "node", "block", "slice").alias("gid"),
+        F.lit(0).alias("tree"), "rep",
     )
 
 
@@ -456,7 +455,8 @@ def likely_links(signed: DataFrame, rows: int, settings: Settings) -> DataFrame:
         alike = matches(token_matrix(tokens, width)) >= least
         return [(reps[a], reps[b]) for a, b in spanning(alike)]
 
-    return by_group(signed, max(1, rows // GROUP_ROWS), "a bigint, b bigint", found_in).distinct()
+    exploded = signed.select(F.explode("met.gid").alias("gid"), "rep", "tokens")
+    return by_group(exploded, max(1, rows // GROUP_ROWS), "a bigint, b bigint", found_in)
 
 
 def left_apart(signed: DataFrame, rows: int, settings: Settings) -> DataFrame:
@@ -468,8 +468,8 @@ def left_apart(signed: DataFrame, rows: int, settings: Settings) -> DataFrame:
         return [(gid, reps[at], sizes[at].as_py()) for at in apart]
 
     return by_group(
-        signed.select("gid", "rep", "tokens", "label", "n"), max(1, rows // GROUP_ROWS),
-        "gid bigint, rep bigint, n bigint", found_in,
+        signed.select(F.explode("met.gid").alias("gid"), "rep", "tokens", "label", "n"),
+        max(1, rows // GROUP_ROWS), "gid bigint, rep bigint, n bigint", found_in,
     )
 
 
@@ -485,13 +485,7 @@ def confirmed_links(shingled: DataFrame, volume: int, settings: Settings) -> Dat
     return by_group(
         shingled.select("gid", "rep", "shingles"), max(1, volume // settings.group_shingles),
         "a bigint, b bigint", found_in,
-    ).distinct()
-
-
-def total(members: DataFrame) -> tuple[int, int]:
-    """Rows and shingles of ``(gid, rep, n)``."""
-    row = members.agg(F.count("*").alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    return row.rows, row.n
+    )
 
 
 def near_duplicates(
@@ -510,15 +504,16 @@ def near_duplicates(
     groups, stuck = small_nodes(reps, settings)
     met = groups.select("gid", "tree", F.explode("members").alias("rep"))
     if stuck is not None:
-        met = met.unionAll(within_blocks(stuck, settings).select("gid", F.lit(0).alias("tree"), "rep"))
+        met = met.unionAll(within_blocks(stuck, settings))
     signed, rows = with_signatures(met, reps, settings)
-    alike = staged(likely_links(signed.select("gid", "rep", "tokens"), rows, settings), "near-likely")
-    clusters = components(alike, "near-alike", settings.broadcast_rows)
+    clusters = components(likely_links(signed, rows, settings), "near-alike", settings.broadcast_rows)
     if stuck is not None:
         labels = clusters.select(F.col("id").alias("rep"), F.col("component").alias("label"))
         further, many = with_signatures(across_blocks(stuck, labels, settings), reps, settings)
-        alike = alike.unionAll(likely_links(further, many, settings))
-        clusters = components(alike, "near-alike", settings.broadcast_rows)
+        hung = clusters.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+        clusters = components(
+            hung.unionAll(likely_links(further, many, settings)), "near-alike", settings.broadcast_rows
+        )
     known, large = sized_clusters(clusters, reps, settings)
     links = links_of_clusters(known, docs, id_col, text_col, settings)
     if large:
@@ -546,11 +541,15 @@ def near_duplicates(
 
 
 def with_signatures(met: DataFrame, reps: DataFrame, settings: Settings) -> tuple[DataFrame, int]:
-    """The rows of ``met`` with their representative's signature, and how many there are."""
-    met = staged(met, "near-met")
-    rows = met.count()
+    """One row ``(rep, tokens, met)`` per representative of the groups ``(gid, tree, rep)``: its
+    signature and the groups it is in; and how many rows the groups have."""
+    met = staged(
+        met.groupBy("rep").agg(F.collect_list(F.struct("gid", "tree")).alias("met")), "near-met"
+    )
+    sums = met.agg(F.count("*").alias("reps"), F.coalesce(F.sum(F.size("met")), F.lit(0)).alias("rows")).first()
     tokens = reps.select("rep", "tokens")
-    return staged(sized_join(tokens, met, ["rep"], rows, settings.broadcast_rows), "near-signed"), rows
+    signed = sized_join(tokens, met, ["rep"], sums.rows, settings.broadcast_rows)
+    return staged(signed, "near-signed"), sums.rows
 
 
 def sized_clusters(
@@ -581,7 +580,7 @@ def links_of_clusters(
     fitting = known.where("fits").select(
         F.xxhash64(F.lit("cluster"), "component").alias("gid"), "rep", "set_key", "n"
     )
-    volume = total(fitting)[1]
+    volume = fitting.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     sets = full_sets(docs, id_col, text_col, fitting, settings)
     return staged(confirmed_links(sets, volume, settings), "near-cluster-links")
 
@@ -602,15 +601,24 @@ def links_of_crowds(
     ).drop("gid"), "near-sets")
 
     def confirmed(members: DataFrame, name: str) -> DataFrame:
-        members = staged(members, name)
-        many, volume = total(members)
-        shingled = sized_join(sets, members.drop("n"), ["rep"], many, settings.broadcast_rows)
-        return staged(confirmed_links(shingled, volume, settings), f"{name}-links")
-
+        """Links in the groups ``(gid, rep, n)``; a set is joined once with all its groups."""
+        of_rep = staged(
+            members.groupBy("rep").agg(F.collect_set("gid").alias("gids"), F.first("n").alias("n")), name
+        )
+        sums = of_rep.agg(
+            F.coalesce(F.sum(F.size("gids")), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.size("gids") * F.col("n")), F.lit(0)).alias("volume"),
+        ).first()
+        shingled = sized_join(
+            sets, of_rep.select("rep", "gids"), ["rep"], sums.rows, settings.broadcast_rows
+        ).select(F.explode("gids").alias("gid"), "rep", "shingles")
+        return staged(confirmed_links(shingled, sums.volume, settings), f"{name}-links")
+
+    first_gids = F.filter("met", lambda one: one["tree"] < settings.first_trees)["gid"]
     by_node = sized_join(
-        signed.where(F.col("tree") < settings.first_trees).select("gid", "rep"),
-        crowds.select("rep", "component", "n"), ["rep"], count, settings.broadcast_rows,
-    )
+        signed.select("rep", first_gids.alias("gids")), crowds.select("rep", "component", "n"),
+        ["rep"], count, settings.broadcast_rows,
+    ).select(F.explode("gids").alias("gid"), "rep", "component", "n")
     links = confirmed(by_node.select(F.xxhash64("gid", "component").alias("gid"), "rep", "n"), "near-first")
 
     def labelled(links: DataFrame) -> DataFrame:
@@ -623,8 +631,7 @@ def links_of_crowds(
 
     labels = labelled(links)
     apart = left_apart(
-        sized_join(signed.select("gid", "rep", "tokens"), labels, ["rep"], count, settings.broadcast_rows),
-        rows, settings,
+        sized_join(signed, labels, ["rep"], count, settings.broadcast_rows), rows, settings,
     )
     links = links.unionAll(confirmed(apart, "near-apart"))
     if stuck is not None:

@@ -170,11 +170,12 @@ def test_spanning_pairs_connect_the_same():
     assert spanning(np.zeros((0, 0), bool)) == []
 
 
-def test_components_against_union_find(spark):
+@pytest.mark.parametrize("limits", [{}, {"forest_edges": 100}, {"forest_edges": 30, "broadcast_rows": 10**6}])
+def test_components_against_union_find(spark, limits):
     rng = random.Random(1)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
     edges += [(1000 + i, 1001 + i) for i in range(60)] + [(2000, 2000 + i) for i in range(50)] + [(5, 5)]
-    found = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    found = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), **limits).collect()}
     nodes = sorted({n for a, b in edges if a != b for n in (a, b)})
     place = {n: i for i, n in enumerate(nodes)}
     parent = list(range(len(nodes)))
