@@ -2,11 +2,13 @@
 
 The cost of a piece of ``l`` tokens is ``l + l * l / balance``: work linear in its tokens
 plus attention within the piece. Documents go, longest first, to the sequence of least cost
-with room left, and are cut where the room ends.
+with room for them, and are cut only where none has. Order and balance hold within a window of
+``WINDOW_TOKENS`` tokens of the documents that one task reads.
 
 Defined results: a null or empty text has just the closing id. Repeated rows are packed each
 on its own. Special tokens' strings in a text are encoded as the tokenizer does by default.
-Only the id and the text are read.
+An empty table gives no pieces. A text of any length is encoded whole, in parts that no token
+crosses. Only the id and the text are read.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from shelfmark.llm.segments import SegmentEncoder, word_starts
+from shelfmark.llm.shingles import byte_slices
 
 CAPACITY = 1024
 #: Tokens at which attention costs as much as the linear part.
@@ -30,8 +33,6 @@ BALANCE = 4096
 WINDOW_TOKENS = 1 << 20
 CLOSING_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
-#: Sequences of least cost that are tried before a document is cut.
-TRIES = 8
 TASK_BITS = 36
 
 
@@ -55,36 +56,71 @@ def cost(length: int, balance: int = BALANCE) -> float:
     return length + length * length / balance
 
 
+class OpenSequences:
+    """Sequences with room left: finds the one of least cost among those with enough.
+
+    Sequences of the same room are in a heap by cost; over the rooms stands a tree whose nodes
+    hold the least of all sequences below.
+    """
+
+    NONE = (float("inf"), -1, 0)
+
+    def __init__(self, capacity: int):
+        self.heaps: list[list[tuple[float, int, int]]] = [[] for _ in range(capacity + 1)]
+        self.width = 1 << capacity.bit_length()
+        self.least = [self.NONE] * (2 * self.width)
+
+    def _refresh(self, room: int) -> None:
+        at = self.width + room
+        self.least[at] = self.heaps[room][0] if self.heaps[room] else self.NONE
+        while at > 1:
+            at >>= 1
+            self.least[at] = min(self.least[2 * at], self.least[2 * at + 1])
+
+    def put(self, room: int, spent: float, sequence: int) -> None:
+        heapq.heappush(self.heaps[room], (spent, sequence, room))
+        self._refresh(room)
+
+    def take(self, room: int) -> tuple[float, int, int] | None:
+        """Remove and give ``(spent, sequence, room)`` of least cost with so much room."""
+        found = self.NONE
+        low, high = self.width + room, 2 * self.width
+        while low < high:
+            if low & 1:
+                found = min(found, self.least[low])
+                low += 1
+            if high & 1:
+                high -= 1
+                found = min(found, self.least[high])
+            low >>= 1
+            high >>= 1
+        if found is self.NONE:
+            return None
+        heapq.heappop(self.heaps[found[2]])
+        self._refresh(found[2])
+        return found
+
+
 def pack(lengths: Sequence[int], capacity: int = CAPACITY, balance: int = BALANCE) -> list[Piece]:
-    """Place documents of these lengths; together the pieces fill every sequence."""
+    """Place documents of these lengths; together the pieces fill every sequence.
+
+    A document no longer than a sequence is cut only if no sequence has room for all of it.
+    """
     room = room_of(sum(lengths), capacity)
-    used = [0] * len(room)
-    least = [(0.0, sequence) for sequence in range(len(room))]
-    heapq.heapify(least)
+    open_ = OpenSequences(capacity)
+    for sequence, size in enumerate(room):
+        open_.put(size, 0.0, sequence)
     waiting = [(-length, document, 0) for document, length in enumerate(lengths) if length]
     heapq.heapify(waiting)
     pieces = []
     while waiting:
         negative, document, start = heapq.heappop(waiting)
         length = -negative
-        tried = []
-        chosen = None
-        while least and len(tried) < TRIES:
-            spent, sequence = heapq.heappop(least)
-            if room[sequence] - used[sequence] >= min(length, capacity):
-                chosen = (spent, sequence)
-                break
-            tried.append((spent, sequence))
-        if chosen is None:
-            chosen = tried.pop(0)
-        for other in tried:
-            heapq.heappush(least, other)
-        spent, sequence = chosen
-        size = min(length, room[sequence] - used[sequence])
-        pieces.append(Piece(document, start, size, sequence, used[sequence]))
-        used[sequence] += size
-        if used[sequence] < room[sequence]:
-            heapq.heappush(least, (spent + cost(size, balance), sequence))
+        spent, sequence, left = open_.take(min(length, capacity)) or open_.take(1)
+        size = min(length, left)
+        pieces.append(Piece(document, start, size, sequence, room[sequence] - left))
+        if size < left:
+            open_.put(left - size, spent + cost(size, balance), sequence)
         if size < length:
             heapq.heappush(waiting, (size - length, document, start + size))
     return pieces
@@ -182,16 +218,17 @@ def pack_documents(
         for batch in batches:
             if encode is None:
                 encode = kept_tokenizer(tokenizer)
-            numbers = batch.column(0).to_pylist()
-            texts = batch.column(1).to_pylist()
-            for number, ids in zip(numbers, encode(texts), strict=True):
-                closed = np.append(ids, np.uint32(CLOSING_ID))
-                window.append((number, closed))
-                tokens += len(closed)
-                if tokens >= window_tokens:
-                    made, base = rows_of(window, base)
-                    yield made
-                    window, tokens = [], 0
+            for part in byte_slices(batch, 1):
+                numbers = part.column(0).to_pylist()
+                texts = part.column(1).to_pylist()
+                for number, ids in zip(numbers, encode(texts), strict=True):
+                    closed = np.append(ids, np.uint32(CLOSING_ID))
+                    window.append((number, closed))
+                    tokens += len(closed)
+                    if tokens >= window_tokens:
+                        made, base = rows_of(window, base)
+                        yield made
+                        window, tokens = [], 0
         if window:
             yield rows_of(window, base)[0]
 

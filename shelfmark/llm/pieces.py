@@ -6,8 +6,8 @@ piece crosses, distinct segments are encoded in multithreaded batches, and each
 segment is also encoded by the original library to verify parity.
 
 Defined results: a null or empty text has no ids and decodes to the empty text. Strings of
-control tokens in a text are ordinary text. Repeated rows are encoded each. Only id and text
-are read.
+control tokens in a text are ordinary text. Repeated rows are encoded each. An empty table gives
+an empty result; texts of any length are encoded whole. Only id and text are read.
 """
 
 from __future__ import annotations
@@ -184,6 +184,7 @@ class PieceEncoder:
         if verify:
             import sentencepiece
 
+            self.complete = sentencepiece.SentencePieceProcessor(model_proto=data)
             # A message given twice is merged: the same model without prefix and trimming.
             self.original = sentencepiece.SentencePieceProcessor(model_proto=data + AS_IT_IS)
         self.differing = 0
@@ -218,6 +219,17 @@ class PieceEncoder:
                 yield np.array(ids, np.uint32)
 
 
+    def parity(self, texts: Sequence[str], ids: Sequence[np.ndarray]) -> list[bool]:
+        """Whether each text's ids are the original's.
+
+        As long as every segment met was the original's, the first text is compared whole with
+        what the original makes of the raw text, normaliser and marker included; else all are.
+        """
+        checked = 1 if not self.differing else len(texts)
+        found = [self.complete.encode(t) == i.tolist() for t, i in zip(texts[:checked], ids, strict=False)]
+        return found + [True] * (len(texts) - len(found))
+
+
 class PieceDecoder:
     """Texts of ids by gathering the bytes of their pieces."""
 
@@ -255,8 +267,8 @@ def encode_documents(
 ) -> DataFrame:
     """One row per document: its ids, and whether they decode to the text.
 
-    ``parity`` tells that the original library gave the same ids for every segment met first
-    in the document's batch of rows. One pass without a shuffle; batches are encoded with
+    ``parity`` tells that the original library gives the same ids: each distinct segment that a
+    worker meets is compared, and whole texts as ``PieceEncoder.parity`` says. One pass without a shuffle; batches are encoded with
     as many threads as Spark gives a task.
     """
     threads = docs.sparkSession.conf.get("spark.task.cpus", "1")
@@ -272,16 +284,15 @@ def encode_documents(
             for start in range(0, len(batch), 256):
                 part = batch.slice(start, 256)
                 texts = part.column(1).to_pylist()
-                before = encoder.differing
                 ids = list(encoder(texts))
-                same = encoder.differing == before
+                same = encoder.parity(texts, ids)
                 back = [decoder(row) == text for row, text in zip(ids, texts, strict=True)]
                 offsets = np.cumsum([0, *map(len, ids)])
                 flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
-                    pa.array(np.diff(offsets)), pa.array(back), pa.array([same] * len(ids)),
+                    pa.array(np.diff(offsets)), pa.array(back), pa.array(same, pa.bool_()),
                 ], ["doc_id", "ids", "n_ids", "round_trip", "parity"])
 
     return docs.select(

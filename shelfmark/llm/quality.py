@@ -2,12 +2,16 @@
 
 A small network is fitted to the non-negative unbiased risk of positive-unlabelled learning:
 ``prior * R_P(+1) + max(0, R_U(-1) - prior * R_P(-1))`` under the logistic loss. Positives are
-trusted good texts; the unlabelled texts mix good and bad, at a rate given by the class prior.
-Texts labelled bad serve only to estimate that prior, never as negatives.
+trusted good texts; the unlabelled ones are a bounded sample of all documents, whether they
+have a label or not. The class prior, the share of good texts among these, is estimated from
+the two samples: a ranking of good before unlabelled texts is fitted on one half of each, and on
+the other half the share of unlabelled texts is compared with that of good ones above each cut.
+Labels other than good are not read.
 
 Defined results: a null or empty text has features of zero and a score like any other.
-Repeated rows are scored alike. Labels other than 0 and 1 are not used; of two labels for one
-id the larger counts. Without positives every score is the prior. Only id and text are read.
+Repeated rows are scored alike. Labels other than 1 are not used; of two labels for one
+id the larger counts. Without positives every score is ``DEFAULT_PRIOR``. An empty table gives
+an empty result. Texts of any length are read whole. Only id and text are read.
 """
 
 from __future__ import annotations
@@ -21,14 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from shelfmark.llm.common import whole
-from shelfmark.llm.labels import held_out, sigmoid, training_labels
+from shelfmark.llm.labels import Logistic, held_out, sigmoid, training_labels
 from shelfmark.llm.shingles import SPACES, mix, text_bytes, word_hashes
 
 FOLDS, FOLD = 5, 0
-#: Labelled texts read for fitting, at most.
+#: Good texts, and unlabelled ones, read for fitting, at most.
 SAMPLE_ROWS = 12_000
-#: Prior where nothing is labelled bad.
+#: Prior and score where no text is labelled good.
 DEFAULT_PRIOR = 0.8
+#: Chance that the bounds used in estimating the prior do not hold.
+DOUBT = 0.1
 THRESHOLD = 0.3
 HIDDEN, ROUNDS, RATE, DECAY, SEED = 16, 600, 0.02, 1e-4, 7
 TEXTS_AT_ONCE = 256
@@ -160,33 +166,52 @@ def fit_network(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> N
     return network
 
 
-def estimate_prior(good: int, bad: int) -> float:
-    """The share of good texts among unlabelled ones, from the labelled counts."""
-    return min(0.98, max(0.02, good / (good + bad))) if bad else DEFAULT_PRIOR
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of positives in a mixture, from features of positives and of the mixture.
+
+    Above any cut of a score, the mixture's share is at least the prior times the positives'.
+    So no ratio of the two shares is below the prior, and where the cut leaves hardly any
+    negative above it, the ratio comes close. The score is fitted on every other row and the
+    ratios are taken on the rest, at the cut where the ratio's upper bound is least.
+    """
+    labels = np.concatenate([np.ones(len(positive[::2])), np.zeros(len(unlabelled[::2]))])
+    ranking = Logistic.fit(np.vstack([positive[::2], unlabelled[::2]]), labels)
+    p, u = (np.sort(ranking.logit(rows[1::2])) for rows in (positive, unlabelled))
+    if not len(p) or not len(u):
+        return DEFAULT_PRIOR
+    above_p = 1 - np.searchsorted(p, p) / len(p)
+    above_u = 1 - np.searchsorted(u, p) / len(u)
+    slack = np.sqrt(np.log(4 / DOUBT) / 2) * (len(u) ** -0.5 + len(p) ** -0.5)
+    best = np.argmin((above_u + slack) / above_p)
+    return float(np.clip(above_u[best] / above_p[best], 0.02, 0.98))
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id",
     text_col: str = "text", sample_rows: int = SAMPLE_ROWS,
 ) -> Network | float:
-    """Fit on at most ``sample_rows`` labelled texts outside the held-out fold.
+    """Fit on at most ``sample_rows`` texts labelled good outside the held-out fold, and on as
+    many texts of all documents outside that fold, without their labels.
 
+    Which texts is settled by hashes of their ids, so a run on the same table takes the same.
     The sampled ids are broadcast to the scan; features are made in the tasks, and a row of
-    numbers per sampled text comes to the driver. All sampled texts, whatever their label,
-    are the unlabelled ones; those labelled good are the positives as well.
+    numbers per sampled text comes to the driver.
     """
-    ids = training_labels(labels, label, FOLDS, FOLD, sample_rows).withColumnRenamed(
-        "doc_id", "_id"
-    )
-    sample = docs.select(
-        F.col(id_col).alias("_id"), whole(F.col(text_col)).alias("_text")
-    ).join(ids, "_id").select("label", feature_column()("_text").alias("x")).toPandas()
-    good = int((sample["label"] == 1).sum())
-    prior = estimate_prior(good, len(sample) - good)
-    if not good:
-        return prior
-    rows = np.stack(sample["x"].to_list())
-    return fit_network(rows[sample["label"].to_numpy() == 1], rows, prior)
+    ids = docs.select(F.col(id_col).alias("doc_id")).withColumn("unlabelled", F.lit(1))
+    marked = {
+        1: training_labels(labels.where(F.col(label) == 1), label, FOLDS, FOLD, sample_rows),
+        0: training_labels(ids, "unlabelled", FOLDS, FOLD, sample_rows),
+    }
+    texts = docs.select(F.col(id_col).alias("_id"), whole(F.col(text_col)).alias("_text"))
+    rows = {}
+    for side, sample in marked.items():
+        chosen = sample.select(F.col("doc_id").alias("_id"))
+        found = texts.join(chosen, "_id").select("_id", feature_column()("_text").alias("x"))
+        found = found.orderBy(F.xxhash64("_id"), "_id").limit(sample_rows).toPandas()
+        rows[side] = np.array(found["x"].to_list()).reshape(-1, len(NAMES))
+    if not len(rows[1]):
+        return DEFAULT_PRIOR
+    return fit_network(rows[1], rows[0], estimate_prior(rows[1], rows[0]))
 
 
 def _in_parts(texts: pd.Series) -> Iterator[np.ndarray]:

@@ -111,3 +111,28 @@ def test_positive_unlabelled_learning_finds_the_bad():
     mixed = np.vstack([rng.normal(size=(420, 4)), rng.normal(size=(180, 4)) + [4, 0, 0, 0]])
     model = quality.fit_network(good, mixed, 0.7)
     assert (model(mixed[:420]) >= 0.3).mean() > 0.9 and (model(mixed[420:]) < 0.3).mean() > 0.85
+
+
+@pytest.mark.parametrize("prior", [0.3, 0.6, 0.85])
+def test_prior_of_unlabelled_rows(prior):
+    """Estimated from positives and a mixture, with no negative marked."""
+    rng = np.random.default_rng(int(prior * 100))
+    width = len(quality.NAMES)
+    centre = np.zeros(width)
+    centre[:3] = 2.5
+
+    def mixed(count, share):
+        good = rng.random(count) < share
+        return rng.normal(0, 1, (count, width)) + np.where(good[:, None], centre, -centre)
+
+    assert abs(quality.estimate_prior(mixed(5000, 1.0), mixed(6000, prior)) - prior) < 0.05
+
+
+def test_no_bad_label_is_read(spark, documents):
+    """Labels of bad texts, right or wrong, change nothing."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    models = [
+        quality.fit(documents, chosen).weights
+        for chosen in (labels, labels.where("quality = 1"))
+    ]
+    assert all((a == b).all() for a, b in zip(*models, strict=True))

@@ -190,3 +190,39 @@ def test_a_unigram_model_is_rebuilt():
     for text in ("ab", "abab ab", "baab", "b a  ab", "a日b", "xyz"):
         assert rebuilt.encode(text, add_special_tokens=False).ids == original.encode(text)
         assert pieces.PieceDecoder(model)(np.array(original.encode(text))) == text
+
+
+def placed_one_by_one(lengths, capacity):
+    """Descending documents, each to the cheapest sequence that holds it, by looking at all."""
+    room = packing.room_of(sum(lengths), capacity)
+    left, spent = list(room), [0.0] * len(room)
+    waiting = sorted((-n, d, 0) for d, n in enumerate(lengths))
+    pieces = []
+    while waiting:
+        n, d, start = waiting.pop(0)
+        fits = [s for s in range(len(room)) if left[s] >= min(-n, capacity)]
+        s = min(fits or [s for s in range(len(room)) if left[s]], key=lambda s: (spent[s], s))
+        size = min(-n, left[s])
+        pieces.append((d, start, size, s))
+        left[s] -= size
+        spent[s] += packing.cost(size)
+        if size < -n:
+            waiting = sorted([*waiting, (n + size, d, start + size)])
+    return pieces
+
+
+@hypothesis_settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 150), max_size=50))
+def test_pack_finds_the_cheapest_sequence_with_room(lengths):
+    found = [(p.document, p.start, p.length, p.sequence) for p in packing.pack(lengths, capacity=64)]
+    assert found == placed_one_by_one(lengths, 64)
+
+
+def test_parity_is_per_text_once_a_segment_differs():
+    encoder = pieces.PieceEncoder()
+    texts = ["one two", "three four", "five  six"]
+    ids = list(encoder(texts))
+    assert encoder.parity(texts, ids) == [True] * 3
+    wrong = [ids[0], ids[1][:-1], ids[2]]
+    encoder.differing = 1
+    assert encoder.parity(texts, wrong) == [True, False, True]
