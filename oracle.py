@@ -113,6 +113,14 @@ def _json(path: str, of: str = "record.jsonb") -> str:
     return f"json_extract_string({of}, '$.{path}')"
 
 
+# The arrays of the fixture hold strings without commas.
+_FORMER_IDS = f"replace({_json('formerIds')}, ',', ', ')"
+_STATUS = (
+    """'{"date": ' || cast(record.jsonb -> '$.status.date' as string) || ', "name": ' ||"""
+    """ cast(record.jsonb -> '$.status.name' as string) || '}'"""
+)
+
+
 _DAYS_BY_WINDOW = _with(
     ("terms", "loans"),
     """wanted as (
@@ -245,7 +253,7 @@ where call_number_prefix = 'Curr' and contributor_is_primary""",
         _notes("notes"),
     ) + f"""select cast(discovery_suppress as string) as discovery_suppress, {_json('hrid')} as item_hrid,
     holdings.hrid as holdings_hrid, locations.name as item_location,
-    {_json('barcode')} as barcode, {_json('formerIds')} as formerids, call_number,
+    {_json('barcode')} as barcode, {_FORMER_IDS} as formerids, call_number,
     {_json('effectiveShelvingOrder')} as shelving_order, material_types.name as material_type,
     title, item_note_types.name as note_type_name, {_json('note', 'element')} as note,
     {_json('staffOnly', 'element')} as staff_only, cast(place as int) as note_ordinality
@@ -367,6 +375,17 @@ where course_number is null or course_number = '' or course_number not ilike 'LA
 union all select id, item_id, __current, 'current' from reserves where __current""",
     "regex_filter": _with(("courses",)) + """select id, name from courses
 where regexp_matches(name, 'mer#0+[1-9]*7$', 'i')""",
+    "regex_dialect": _with(("courses",)) + """select id,
+    regexp_matches(name, '(^|[^a-zA-Z0-9_])customer($|[^a-zA-Z0-9_])', 'i') as whole_word,
+    regexp_matches(name, '(^|[^a-zA-Z0-9_])cust($|[^a-zA-Z0-9_])', 'i') as part_of_word,
+    contains(name, '#0') as boundary,
+    regexp_matches(name, '^[a-zA-Z]+#[0-9]{9}$') as classes,
+    regexp_matches(name, '(^|[^a-zA-Z0-9_])c[^ ]*[02468]$', 'i') as word_start,
+    list_bool_or(list_transform(range(1, 10), lambda d: contains(name, d::varchar || d::varchar))) as same_digit,
+    contains(name, 'customer') as "case"
+from courses""",
+    "json_container_text": _with(("item_records",)) + f"""select id, {_STATUS} as status
+from item_records record""",
     "lookup_names": _with(("item_records", "locations", "loan_types")) + """select record.id,
     locations.name as location_name, loan_types.name as loan_type_name
 from item_records record
@@ -377,7 +396,7 @@ left join loan_types on loan_types.id = temporaryloantypeid""",
     cast(place as bigint) as ordinality from elements""",
     "json_fields": _with(("item_records",)) + f"""select id, {_json('volume')} as volume,
     {_json('status.name')} as status_name, {_json('numberOfPieces')} as pieces,
-    {_json('discoverySuppress')} as suppressed, {_json('formerIds')} as former_ids
+    {_json('discoverySuppress')} as suppressed, {_FORMER_IDS} as former_ids
 from item_records record""",
     "null_skipping_concat": _with(("holdings",)) + """select id,
     trim(concat(call_number_prefix, ' ', call_number, ' ', hrid)) as call_number from holdings""",

@@ -1,4 +1,8 @@
-from shelfmark.functions.documents import Elements, explode_elements, with_document_fields
+from shelfmark.functions.documents import (
+    Container, Elements, explode_elements, with_document_fields,
+)
+from shelfmark.functions.json_text import json_text
+from shelfmark.functions.patterns import java_pattern
 from shelfmark.functions.text import (
     catalog_link, compose_call_number, concat_present, matches_regex, normalise_code, parse_code_list,
 )
@@ -7,7 +11,7 @@ from shelfmark.functions.values import (
 )
 
 __all__ = [
-    "Elements", "as_boolean", "as_timestamp", "as_uuid", "catalog_link", "compose_call_number",
-    "concat_present", "explode_elements", "matches_regex", "normalise_code", "parse_code_list",
-    "with_document_fields", "within_days", "within_midnights",
+    "Container", "Elements", "as_boolean", "as_timestamp", "as_uuid", "catalog_link",
+    "compose_call_number", "concat_present", "explode_elements", "java_pattern", "json_text",
+    "matches_regex", "normalise_code", "parse_code_list", "with_document_fields", "within_days", "within_midnights",
 ]

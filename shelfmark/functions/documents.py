@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from shelfmark.functions.json_text import json_text
 
 
 @dataclass(frozen=True)
@@ -16,10 +18,17 @@ class Elements:
     fields: tuple[str, ...]
 
 
-Paths = Mapping[str, str | Elements]
+@dataclass(frozen=True)
+class Container:
+    """An array or object at a path, as the canonical text of a binary JSON value."""
+
+    path: str
+
 
+Paths = Mapping[str, str | Elements | Container]
 
-def document_schema(paths: Iterable[str | Elements]) -> T.StructType:
+
+def document_schema(paths: Iterable[str | Elements | Container]) -> T.StructType:
     """A schema holding just these dotted paths and arrays, every leaf as text."""
     tree: dict = {}
     for path in paths:
@@ -28,7 +37,7 @@ def document_schema(paths: Iterable[str | Elements]) -> T.StructType:
             tree[path.path] = T.ArrayType(T.StructType(fields))
             continue
         node = tree
-        *parents, leaf = path.split(".")
+        *parents, leaf = (path.path if isinstance(path, Container) else path).split(".")
         for parent in parents:
             node = node.setdefault(parent, {})
         node[leaf] = T.StringType()
@@ -47,15 +56,21 @@ def with_document_fields(
 ) -> DataFrame:
     """``keep`` columns plus one column per entry of ``paths``: text, or an array of structs.
 
+    A ``Container`` is written as the database writes an array or object; text of another kind
+    at its path stays as it is.
+
     The document is parsed once per row, against a schema of the wanted paths only. A
     field is NULL where its path is missing, JSON null, or of another kind.
     """
     keep = list(keep)
     parsed = df.select(*keep, F.from_json(document, document_schema(paths.values())).alias("_doc"))
-    return parsed.select(*keep, *(
-        F.col(f"_doc.{p.path if isinstance(p, Elements) else p}").alias(name)
-        for name, p in paths.items()
-    ))
+
+    def field(path: str | Elements | Container) -> Column:
+        if isinstance(path, Container):
+            return json_text(F.col(f"_doc.{path.path}"))
+        return F.col(f"_doc.{path.path if isinstance(path, Elements) else path}")
+
+    return parsed.select(*keep, *(field(path).alias(name) for name, path in paths.items()))
 
 
 def explode_elements(df: DataFrame, elements: str, fields: Iterable[str]) -> DataFrame:

@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+from shelfmark.functions.patterns import java_pattern
+
 # Fixed value: an upper-case letter directly followed by a digit.
 LETTER_DIGIT = "([A-Z])([0-9])"
 
@@ -35,10 +37,11 @@ def concat_present(*parts: Column | str) -> Column:
 
 
 def matches_regex(text: Column, pattern: str | None) -> Column:
-    """Case-insensitive regular expression search; a NULL pattern matches nothing."""
+    """Search for a pattern in the database's dialect, case-insensitive unless it begins with
+    ``(?c)``; a NULL pattern matches nothing, and one that can't be read is a ``ValueError``."""
     if pattern is None:
         return F.lit(False)
-    return text.rlike("(?iu)" + pattern)
+    return text.rlike(java_pattern(pattern))
 
 
 def compose_call_number(*parts: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from shelfmark.functions import (
-    as_boolean, as_uuid, catalog_link, compose_call_number, concat_present, matches_regex,
+    Container, as_boolean, as_uuid, catalog_link, compose_call_number, concat_present, matches_regex,
 )
 from shelfmark.operators import (
     conform, explode_notes, item_notes, known_items, lookup_names, ordered, skew_join,
@@ -121,7 +121,7 @@ def note_type_items(
 ) -> DataFrame:
     """Every note of one type, with its item, holdings, instance and place."""
     paths = {
-        "item_hrid": "hrid", "barcode": "barcode", "former_ids": "formerIds",
+        "item_hrid": "hrid", "barcode": "barcode", "former_ids": Container("formerIds"),
         "shelving_order": "effectiveShelvingOrder",
     }
     notes = explode_notes(

@@ -1,3 +1,3 @@
-from shelfmark.sources.tables import REQUIRED_COLUMNS, Tables
+from shelfmark.sources.tables import REQUIRED_COLUMNS, Tables, store_lower_ids
 
-__all__ = ["REQUIRED_COLUMNS", "Tables"]
+__all__ = ["REQUIRED_COLUMNS", "Tables", "store_lower_ids"]

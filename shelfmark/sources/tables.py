@@ -81,6 +81,22 @@ def is_id(column: str) -> bool:
 Source = DataFrame | Callable[[], DataFrame]
 
 
+#: Key in a column's metadata: its ids are stored in lower case.
+STORED_LOWER = "shelfmark.lower_ids"
+
+
+def store_lower_ids(table: DataFrame) -> DataFrame:
+    """The table with its ids in lower case, marked as such; the mark goes where it is written.
+
+    Parquet files and catalog tables keep the mark, and ``Tables`` reads marked columns as they
+    are, so that filters on ids reach the files and bucketed tables join without a shuffle.
+    """
+    return table.select(*(
+        F.lower(F.col(name)).alias(name, metadata={STORED_LOWER: True}) if kind == "string" and is_id(name)
+        else F.col(name) for name, kind in table.dtypes
+    ))
+
+
 class Tables:
     """Logical table name -> DataFrame, checked against ``REQUIRED_COLUMNS`` on access.
 
@@ -88,12 +104,17 @@ class Tables:
     report opens only the tables it reads.
 
     Ids are equal whatever their case, so id columns that hold text are read in lower case.
-    Tables known to hold them so can be taken as they are, with ``lower_ids=False``, which
-    keeps their bucketing and lets filters on ids reach the files.
+    Columns known to hold them so are taken as they are, which keeps their bucketing and lets
+    filters on ids reach the files: those marked by ``store_lower_ids``, those named in
+    ``stored_lower``, as ``table`` or ``table.column``, and all with ``lower_ids=False``.
     """
 
-    def __init__(self, sources: Mapping[str, Source], lower_ids: bool = True):
-        unknown = sorted(set(sources) - set(REQUIRED_COLUMNS))
+    def __init__(
+        self, sources: Mapping[str, Source], lower_ids: bool = True, stored_lower: Iterable[str] = ()
+    ):
+        self._stored_lower = frozenset(stored_lower)
+        named = set(sources) | {name.partition(".")[0] for name in self._stored_lower}
+        unknown = sorted(named - set(REQUIRED_COLUMNS))
         if unknown:
             raise KeyError(f"not a logical table: {', '.join(unknown)}")
         self._sources = dict(sources)
@@ -102,18 +123,23 @@ class Tables:
 
     @classmethod
     def from_parquet(
-        cls, spark: SparkSession, root: str, names: Iterable[str] | Mapping[str, str]
+        cls, spark: SparkSession, root: str, names: Iterable[str] | Mapping[str, str],
+        lower_ids: bool = True, stored_lower: Iterable[str] = (),
     ) -> Tables:
         """Read ``{root}/{name}`` for each logical name; a mapping gives other folder names."""
         folders = dict(names) if isinstance(names, Mapping) else {n: n for n in names}
         return cls({
             n: lambda path=f"{root}/{f}": spark.read.parquet(path) for n, f in folders.items()
-        })
+        }, lower_ids, stored_lower)
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, names: Mapping[str, str]) -> Tables:
+    def from_catalog(
+        cls, spark: SparkSession, names: Mapping[str, str], lower_ids: bool = True,
+        stored_lower: Iterable[str] = (),
+    ) -> Tables:
         """Use catalog tables; ``names`` maps logical names to ``schema.table`` names."""
-        return cls({n: lambda table=t: spark.table(table) for n, t in names.items()})
+        sources = {n: lambda table=t: spark.table(table) for n, t in names.items()}
+        return cls(sources, lower_ids, stored_lower)
 
     def __contains__(self, name: str) -> bool:
         return name in self._sources
@@ -132,12 +158,16 @@ class Tables:
             raise ValueError(f"table {name!r} lacks the columns {', '.join(missing)}")
         if not self._lower_ids:
             return table
-        ids = [c for c, kind in table.dtypes if kind == "string" and is_id(c)]
+        ids = [c for c, kind in table.dtypes if kind == "string" and is_id(c) and not self._stored(name, table, c)]
         return table.withColumns({c: F.lower(F.col(c)) for c in ids}) if ids else table
 
+    def _stored(self, name: str, table: DataFrame, column: str) -> bool:
+        marked = table.schema[column].metadata.get(STORED_LOWER, False)
+        return marked or not self._stored_lower.isdisjoint((name, f"{name}.{column}"))
+
     def with_tables(self, **sources: Source) -> Tables:
         """A registry with some tables added or replaced."""
-        return Tables({**self._sources, **sources}, self._lower_ids)
+        return Tables({**self._sources, **sources}, self._lower_ids, self._stored_lower)
 
     def current_versions(self) -> Tables:
         """A registry whose history tables keep only the rows flagged current.
@@ -151,4 +181,4 @@ class Tables:
             flagged = CURRENT_FLAG in table.columns
             return table.where(F.col(CURRENT_FLAG)) if flagged else table
 
-        return Tables({n: lambda name=n: current(name) for n in self._sources}, self._lower_ids)
+        return Tables({n: lambda name=n: current(name) for n in self._sources}, self._lower_ids, self._stored_lower)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import fixtures
-from shelfmark import plans
+from shelfmark import Tables, plans, store_lower_ids
 from shelfmark.operators import (
     Window, count_checkouts, count_checkouts_per_window, date_literal, skew_join, term_window,
 )
@@ -244,3 +244,53 @@ def test_course_codes_cut_the_reserves(spark, sf_small, no_broadcast):
     """The reserves are cut to the chosen courses' listings before anything else."""
     plan = ran(QUERIES["reserves_permanent_codes"](spark, sf_small))
     assert re.search(r"\[course_listing_id#\d+\], \[course_listing_id#\d+\], LeftSemi", plan)
+
+
+ITEM = "00000000-0000-0000-0000-00000000000a"
+
+
+def test_ids_stored_in_lower_case_reach_the_files(spark, tmp_path):
+    """A filter on a marked or named id is pushed to the scan; one on other ids is not."""
+    rows = spark.createDataFrame([(ITEM.upper(), "n")], "id string, name string")
+    rows.write.parquet(str(tmp_path / "plain" / "locations"))
+    store_lower_ids(rows).write.parquet(str(tmp_path / "marked" / "locations"))
+
+    def pushed(tables):
+        found = tables["locations"].where(F.col("id") == ITEM)
+        return f"EqualTo(id,{ITEM})" in planned(found), found.count()
+
+    plain, marked = str(tmp_path / "plain"), str(tmp_path / "marked")
+    assert pushed(Tables.from_parquet(spark, plain, ["locations"])) == (False, 1)
+    assert pushed(Tables.from_parquet(spark, marked, ["locations"])) == (True, 1)
+    for options in ({"lower_ids": False}, {"stored_lower": ["locations"]}, {"stored_lower": ["locations.id"]}):
+        assert pushed(Tables.from_parquet(spark, marked, ["locations"], **options)) == (True, 1)
+    with pytest.raises(KeyError):
+        Tables.from_parquet(spark, plain, ["locations"], stored_lower=["no_such_table.id"])
+
+
+def test_bucketed_ids_join_without_a_shuffle(spark, tmp_path):
+    ids = [(f"{n:08x}-0000-0000-0000-00000000000A", n) for n in range(50)]
+    holdings = spark.createDataFrame([(i, "h", None, "c", i) for i, _ in ids], "id string, hrid string, call_number_prefix string, call_number string, instance_id string")
+    history = spark.createDataFrame([(i, f"title {n}") for i, n in ids], "id string, title string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, df, key in (("b_holdings", holdings, "instance_id"), ("b_history", history, "id")):
+            store_lower_ids(df).write.bucketBy(4, key).sortBy(key).mode("overwrite").saveAsTable(name)
+        tables = Tables.from_catalog(spark, {"holdings": "b_holdings", "instance_history": "b_history"})
+        titles = tables["instance_history"].withColumnRenamed("id", "instance_id")
+        joined = tables["holdings"].join(titles, "instance_id")
+        assert "Exchange" not in planned(joined) and joined.count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for name in ("b_holdings", "b_history"):
+            spark.sql(f"drop table if exists {name}")
+
+
+def test_windows_are_found_by_binary_search(spark):
+    """One pass over loans: no filter over the array of all windows, counts before windows."""
+    loans = spark.createDataFrame([("1", "i", "checkedout", None)], "__id string, item_id string, action string, loan_date timestamp")
+    windows = spark.sql("select date '2024-01-01' as window_start, date '2024-02-01' as window_end")
+    plan = planned(count_checkouts_per_window(loans, windows))
+    loan_side = plan[plan.index("_interval"):]
+    assert "aggregate(" in loan_side and "Join" not in plan
