@@ -697,10 +697,13 @@ def keep_one_of_each(
     """The documents without all but one of each component, columns unchanged.
 
     The one with the component's id stays, so ids are taken to name one document each; all
-    rows without an id stay. Rows to drop are few beside the documents.
+    rows without an id stay. Rows to drop are few beside the documents, and are broadcast up
+    to a counted ``broadcast_rows``.
     """
     judged = near_duplicates(docs, id_col, text_col, settings)
     losers = staged(
-        judged.where(~F.col("kept")).select(F.col(id_col).alias("_id")).distinct(), "near-losers"
+        judged.where(~F.col("kept")).select(F.col(id_col).alias("_losing_id")).distinct(), "near-losers"
     )
-    return docs.join(losers, docs[id_col] == losers["_id"], "left_anti")
+    if losers.count() <= settings.broadcast_rows:
+        losers = F.broadcast(losers)
+    return docs.join(losers, docs[id_col] == losers["_losing_id"], "left_anti")

@@ -8,9 +8,10 @@ from conftest import ROWS
 from shelfmark.llm.exact_dedup import exact_duplicates, keep_one_copy, text_digest
 
 
-def test_edges_against_brute_force(edge_docs):
+@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
+def test_edges_against_brute_force(edge_docs, broadcast_rows):
     digest = text_digest(F.col("text"))
-    rows = exact_duplicates(edge_docs, carry={"sha": digest}).collect()
+    rows = exact_duplicates(edge_docs, carry={"sha": digest}, broadcast_rows=broadcast_rows).collect()
     groups = {}
     for number, text in ROWS:
         groups.setdefault(lower(text or ""), []).append(number)
@@ -31,8 +32,9 @@ def test_prefix_is_refined_by_the_whole_text(spark):
     assert rows == {0: (2, 2, False), 1: (1, 1, True), 2: (2, 2, True), 3: (3, 1, True)}
 
 
-def test_keep_one_copy_keeps_columns_and_one_of_each(edge_docs, empty_docs):
-    kept = keep_one_copy(edge_docs)
+@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
+def test_keep_one_copy_keeps_columns_and_one_of_each(edge_docs, empty_docs, broadcast_rows):
+    kept = keep_one_copy(edge_docs, broadcast_rows=broadcast_rows)
     assert kept.columns == edge_docs.columns
     texts = [lower(row.text or "") for row in kept.collect()]
     assert sorted(texts) == sorted({lower(text or "") for _, text in ROWS})
