@@ -119,7 +119,7 @@ def test_collection_lists_primary_contributors_once(library):
 
 def test_note_type_ids_match_in_any_case(library):
     df = plans.note_type_items(library, uid(2))
-    shared = ("true", "it1", "ho1", "Stacks", "B1", '["a","b"]', "QA 1", "QA 11", "book", "Latin", "Class")
+    shared = ("true", "it1", "ho1", "Stacks", "B1", '["a", "b"]', "QA 1", "QA 11", "book", "Latin", "Class")
     assert rows(df) == [
         (*shared, "Class of Latin", "false", 1), (*shared, "latin again", None, 3),
     ]
