@@ -3,12 +3,14 @@
 The base patterns give the seed entities. The words around a seed are its lexical patterns;
 a graph of patterns and instances is scored in rounds: a pattern by the share of its
 instances that are known, an instance by the patterns that hold it. Patterns of high score
-then mark identifier-like words the base patterns miss. DataFrame functions only.
+then mark what the base patterns miss: identifier-like words, and numbers written in several
+groups of digits. DataFrame functions only.
 
 Defined results: a null text is empty. Rows with the same id and text are one document to the
 graph and get the same spans each. Offsets are code points, ends exclusive. Work is linear in
-the text however many matches it holds. Other columns than id and text are not read, or
-passed on as they are.
+the text however many matches it holds; a text or identifier may be of any length. An empty
+table gives an empty result. Other columns than id and text are not read, or passed on as
+they are.
 """
 
 from __future__ import annotations
@@ -51,10 +53,18 @@ KINDS = (
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", "number"),
 )
 NAMES = [kind.name for kind in KINDS]
-#: A word with a digit or an at sign.
-CANDIDATE = rf"(?<![^{_SPACE}])[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+"
-MAX_CANDIDATE = 64
+#: A group of digits as identifiers are written in, ``(555)``, ``010-99``, ``4111``.
+_GROUP = r"\(?[0-9]{1,6}+(?![0-9])\)?(?:[.-][0-9]{1,6}+(?![0-9]))*+"
+#: Two or more such words with one space between them, else a word with a digit or an at sign.
+CANDIDATE = (
+    rf"(?<![^{_SPACE}])(?:\+?{_GROUP}(?:\x20{_GROUP}(?![^{_SPACE}.,;:!?'\")\]]))++"
+    rf"|[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+)"
+)
+#: What is cut from a candidate's ends; the end's run is entered only where it begins.
+_EDGES = r"^[^A-Za-z0-9+]++|(?<=[A-Za-z0-9])[^A-Za-z0-9]++\z"
 MIN_DIGITS = 6
+#: Characters on each side of a place that its context words are taken from.
+CONTEXT = 64
 #: Distinct known instances a pattern needs, and the scores that patterns and words need.
 MIN_SUPPORT = 3.0
 MIN_PATTERN = 0.6
@@ -133,8 +143,8 @@ def with_matches(df: DataFrame, text: str, pattern: str, present: Column, name:
     )
     df = df.withColumn(name, F.transform(F.col(found), lambda m, i: F.struct(
         m.alias("value"), start(i).alias("start"),
-        F.right(F.get(F.col(gaps), i), F.lit(MAX_CANDIDATE)).alias("before"),
-        F.left(F.get(F.col(gaps), i + 1), F.lit(MAX_CANDIDATE)).alias("after"),
+        F.right(F.get(F.col(gaps), i), F.lit(CONTEXT)).alias("before"),
+        F.left(F.get(F.col(gaps), i + 1), F.lit(CONTEXT)).alias("after"),
     )))
     return df.drop(steps, blocks)
 
@@ -194,11 +204,11 @@ def places(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     df = with_base(df, "_text")
     df = with_matches(df, "_text", CANDIDATE, F.col("_text").rlike("[0-9@]"), "_words")
-    likely = F.filter(F.col("_words"), lambda m: (F.length(m["value"]) <= MAX_CANDIDATE) & (
+    likely = F.filter(F.col("_words"), lambda m: (
         m["value"].contains("@") | (F.length(digits(m["value"])) >= MIN_DIGITS)
     ))
     trimmed = F.transform(likely, lambda m: F.struct(
-        F.regexp_replace(m["value"], r"^[^A-Za-z0-9+]+|[^A-Za-z0-9]+$", "").alias("value"),
+        F.regexp_replace(m["value"], _EDGES, "").alias("value"),
         (m["start"] + F.length(F.regexp_extract(m["value"], r"^[^A-Za-z0-9+]*", 0))).alias("start"),
         m["before"].alias("before"), m["after"].alias("after"),
     ))
@@ -303,13 +313,15 @@ def masks(kind: str, matches: Column) -> Column:
 def mask_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with every identifier replaced by its kind in brackets.
 
-    Base kinds are masked one after the other, in linear time, then the words that the
-    contexts mark in the document.
+    Base kinds are masked one after the other, in linear time, then what the contexts mark
+    in the document, the longest first.
     """
     found = staged(places(docs, id_col, text_col), "pii-places")
     extras = staged(
         extra_spans(found).groupBy("_key").agg(
-            F.collect_set(F.struct("value", "kind")).alias("_extra")
+            F.sort_array(
+                F.collect_set(F.struct(F.length("value").alias("size"), "value", "kind")), asc=False
+            ).alias("_extra")
         ),
         "pii-extras",
     )

@@ -66,6 +66,43 @@ def test_contexts_find_unseen_identifiers(spark):
     assert masked[13] == unseen[1]
 
 
+def test_contexts_find_numbers_in_groups(spark):
+    """Phones without a plus sign and cards that fail their check, in groups of digits."""
+    cards = ["4111 1111 1111 1111", "5500 0000 0000 0004", "3400 0000 0000 009", "6011 0000 0000 0004"]
+    seeds = [f"well then please call me at +1 555 010 {n:04d} tomorrow" for n in range(12)]
+    seeds += [f"then charge the card number {card} today" for card in cards]
+    unseen = {
+        "you may call me at 555 010 9999 tomorrow": ("phone", "555 010 9999"),
+        "you may call me at (555) 010-9999, tomorrow": ("phone", "555) 010-9999"),
+        "now charge the card number 4111 1111 1111 1112 today": ("card", "4111 1111 1111 1112"),
+        "she said call me at 555 010 88x or 12 tomorrow": ("phone", "555 010"),
+        "she said call me at 555 88x or 12 tomorrow": None,
+        "we counted 555 010 9999 birds": None,
+        "call me at " + "7" * 300 + " tomorrow": ("phone", "7" * 300),
+    }
+    texts = seeds + list(unseen)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    masked = {r.doc_id: r.text for r in pii.mask_pii(docs).collect()}
+    for row in pii.find_pii(docs).collect():
+        text = texts[row.doc_id]
+        if text in unseen:
+            got = [(kind, text[start:end]) for kind, start, end in text_of(row.found)]
+            want = unseen[text]
+            assert got == ([want] if want else [])
+            assert masked[row.doc_id] == (text.replace(want[1], f"[{want[0].upper()}]") if want else text)
+
+
+def test_candidates_of_long_runs_take_linear_time(spark):
+    texts = ["1 " * 200_000, "12 " + "é" * 300_000 + "1234567", "1234567" + "é" * 300_000,
+             "1234567" + "é" * 300_000 + "1", "(1-" * 100_000, "123456 " * 50_000 + "x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert pii.find_pii(docs).count() == len(texts)
+    found = {r._id: r._candidates for r in pii.places(docs, "doc_id", "text").collect()}
+    assert [c.value for c in found[0]] == [texts[0].strip()]
+    assert [c.value for c in found[2]] == ["1234567"]
+    assert [c.value for c in found[5]] == [("123456 " * 50_000).strip()]
+
+
 def test_ip_parts_of_zeros(spark):
     """Parts of several zeros, alone and before a number, and the sums they may not pass."""
     texts = ["at 10.00.0.1 now", "192.168.000.001", "000.000.000.000", "00.00.00.256", "0256.1.1.1",
