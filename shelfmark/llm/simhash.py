@@ -7,7 +7,9 @@ are rare. Every occurrence votes with its weight on each bit.
 Defined results: a null text is empty; a text without words has a fingerprint of zeros. Equal
 texts have equal fingerprints. Rows are told apart, so repeated rows are fingerprinted each.
 The next document is the next row by id, then by a hash of the text; a row without an id is
-next to none and has no next. Only id and text are read.
+next to none and has no next. An empty table gives an empty result; a text of any length is
+read whole, its terms summed where it is read. Only id and text are read, whatever other
+columns are called.
 """
 
 from __future__ import annotations
@@ -80,8 +82,9 @@ def fingerprints(df: DataFrame, texts: Sequence[str], keep: Sequence[str]) -> Da
             set_bits = [a.bitwiseOR(b) for a, b in zip(set_bits[::2], set_bits[1::2], strict=True)]
         return set_bits[0]
 
-    printed = F.lower(F.concat(*(F.lpad(F.hex(bits(half)), 16, "0") for half in range(BITS // 64))))
-    made = summed.select("_row", *keep, "version", printed.alias("_fp"))
+    made = summed.select("_row", *keep, "version", F.lower(F.concat(*(
+        F.lpad(F.hex(bits(half)), 16, "0") for half in range(BITS // 64)
+    ))).alias("_fp"))
     return made.groupBy("_row", *keep).agg(*(
         F.max(F.when(F.col("version") == name, F.col("_fp"))).alias(f"{name}_fp") for name in texts
     )).drop("_row")
@@ -164,14 +167,14 @@ def fingerprint_documents(
         edit(F.col("text"), F.col("_next")).alias("edited"),
         F.xxhash64("text").alias("_order"),
     ).withColumn("edited_sha256", F.sha2("edited", 256))
-    printed = staged(
+    prints = staged(
         fingerprints(edited, ["text", "edited"], ["doc_id", "n_chars", "edited_sha256", "_order"]),
         "simhash-printed",
     )
-    links = within_radius(printed.select(F.col("text_fp").alias("fingerprint")), radius)
-    known = with_next(printed, "doc_id", F.col("_order"), "text_fp")
-    return known.join(
-        links.select(F.col("fingerprint").alias("text_fp"), "near_links"), "text_fp", "left"
+    links = within_radius(prints.select(F.col("text_fp").alias("fingerprint")), radius)
+    known = with_next(prints, "doc_id", F.col("_order"), "text_fp")
+    return skew_join(
+        known, links.select(F.col("fingerprint").alias("text_fp"), "near_links"), ["text_fp"], "left"
     ).select(
         F.col("doc_id").alias(id_col), "n_chars", "edited_sha256",
         F.col("text_fp").alias("fingerprint"), F.col("edited_fp").alias("edited_fingerprint"),
@@ -181,44 +184,91 @@ def fingerprint_documents(
     )
 
 
-def pairs_within(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """All pairs ``(a, b, distance)``, a < b, of distinct fingerprints within the radius.
+def block_masks(blocks: int) -> list[list[int]]:
+    """For each block of the bits, its part of either half."""
+    cuts = [BITS * number // blocks for number in range(blocks + 1)]
+    return [
+        [
+            sum(1 << 63 - (place - half) for place in range(max(start, half), min(stop, half + 64)))
+            for half in range(0, BITS, 64)
+        ]
+        for start, stop in zip(cuts, cuts[1:], strict=False)
+    ]
+
+
+def signed(bits: int) -> Column:
+    """64 bits as a long."""
+    return F.lit(bits - (1 << 64) if bits >> 63 else bits).cast("long")
+
+
+def met_within(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """Each two distinct fingerprints within the radius, in both orders: ``(a, b, distance)``,
+    a and b as structs of longs.
 
     The bits are cut into blocks. Fingerprints that differ in at most ``radius`` bits agree
     in all of at least ``blocks - radius`` blocks, so one table per choice of that many
     blocks, keyed by them, brings every such pair together. Keys met once are dropped
-    before the join, and the distance is part of the join's condition.
+    before the join. Of the tables in which a pair meets the first counts, that of the first
+    blocks they agree in, so pairs come once and need no shuffle to be told apart.
     """
     if not 0 < radius < blocks:
         raise ValueError("the radius must be positive and below the number of blocks")
+    bits = F.struct(*(half.alias(f"h{n}") for n, half in enumerate(halves(F.col("fingerprint")))))
     distinct = staged(
-        prints.select("fingerprint").where("fingerprint is not null").distinct(), "simhash-distinct"
+        prints.where("fingerprint is not null").select(bits.alias("bits")).distinct(),
+        "simhash-distinct",
     )
-    bits = F.concat(*(F.lpad(F.conv(F.substring("fingerprint", 1 + 16 * h, 16), 16, 2), 64, "0")
-                      for h in range(BITS // 64)))
-    cuts = [BITS * number // blocks for number in range(blocks + 1)]
-    block = [
-        F.xxhash64(F.substring("_bits", start + 1, stop - start))
-        for start, stop in zip(cuts, cuts[1:], strict=False)
-    ]
+    masks = block_masks(blocks)
     tables = list(combinations(range(blocks), blocks - radius))
-    keyed = distinct.withColumn("_bits", bits).select("fingerprint", *(
-        column.alias(f"_b{number}") for number, column in enumerate(block)
-    )).select("fingerprint", F.explode(F.array(*(
-        F.xxhash64(F.lit(number), *(f"_b{b}" for b in chosen)) for number, chosen in enumerate(tables)
-    ))).alias("key"))
+
+    def parts(block: int) -> list[Column]:
+        return [F.col(f"bits.h{n}").bitwiseAND(signed(mask)) for n, mask in enumerate(masks[block])]
+
+    keyed = distinct.select("bits", F.explode(F.array(*(
+        F.struct(
+            F.lit(number).alias("table"),
+            F.xxhash64(F.lit(number), *(part for block in chosen for part in parts(block))).alias("key"),
+        ) for number, chosen in enumerate(tables)
+    ))).alias("at")).select("bits", "at.*")
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     met = staged(skew_join(keyed, shared, ["key"], "inner"), "simhash-met")
-    other = met.select(F.col("fingerprint").alias("b"), F.col("key").alias("other"))
-    apart = distance(F.col("fingerprint"), F.col("b"))
-    return met.join(
-        other,
-        (F.col("key") == F.col("other")) & (F.col("fingerprint") < F.col("b")) & (apart <= radius),
-    ).select(F.col("fingerprint").alias("a"), "b", apart.alias("distance")).distinct()
+    a, b = met.alias("a"), met.alias("b")
+    differ = [F.col(f"a.bits.h{n}").bitwiseXOR(F.col(f"b.bits.h{n}")) for n in range(BITS // 64)]
+    apart = reduce(lambda x, y: x + y, map(F.bit_count, differ))
+    agreed = reduce(lambda x, y: x.bitwiseOR(y), (
+        F.when(
+            reduce(lambda x, y: x.bitwiseOR(y), (
+                bits.bitwiseAND(signed(part)) for bits, part in zip(differ, mask, strict=True)
+            )) == 0, F.lit(1 << block)
+        ).otherwise(F.lit(0))
+        for block, mask in enumerate(masks)
+    ))
+    # By table: the blocks up to the last one chosen, and which of them are.
+    up_to = F.array(*(F.lit((2 << max(chosen)) - 1) for chosen in tables))
+    wanted = F.array(*(F.lit(sum(1 << block for block in chosen)) for chosen in tables))
+    first = agreed.bitwiseAND(F.get(up_to, F.col("a.table"))) == F.get(wanted, F.col("a.table"))
+    return a.join(
+        b,
+        (F.col("a.key") == F.col("b.key")) & (F.col("a.table") == F.col("b.table"))
+        & (F.col("a.bits") != F.col("b.bits")) & (apart <= radius) & first,
+    ).select(F.col("a.bits").alias("a"), F.col("b.bits").alias("b"), apart.alias("distance"))
+
+
+def printed(bits: str) -> Column:
+    """The struct of longs as a fingerprint."""
+    return F.lower(F.concat(*(F.lpad(F.hex(F.col(f"{bits}.h{n}")), 16, "0") for n in range(BITS // 64))))
+
+
+def pairs_within(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """All pairs ``(a, b, distance)``, a < b, of distinct fingerprints within the radius."""
+    met = met_within(prints, radius, blocks)
+    return met.select(printed("a").alias("a"), printed("b").alias("b"), "distance").where("a < b")
 
 
 def within_radius(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """The number of other fingerprints near each, where there is any."""
-    pairs = pairs_within(prints, radius, blocks)
-    both = pairs.select(F.explode(F.array("a", "b")).alias("fingerprint"))
-    return both.groupBy("fingerprint").agg(F.count("*").alias("near_links"))
+    """The number of other fingerprints near each, where there is any.
+
+    Pairs are counted in the task that joins them; only counts are shuffled.
+    """
+    counts = met_within(prints, radius, blocks).groupBy("a").agg(F.count("*").alias("near_links"))
+    return counts.select(printed("a").alias("fingerprint"), "near_links")

@@ -1,5 +1,9 @@
 import hashlib
+import re
+import struct
 
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from conftest import ROWS
@@ -10,6 +14,23 @@ def bits(a, b):
     return bin(int(a, 16) ^ int(b, 16)).count("1")
 
 
+def votes(text):
+    """The fingerprint of a text, vote by vote."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text) or [""]
+    tally = [0] * simhash.BITS
+    for word, after in zip(words, words[1:] + [None], strict=True):
+        first = xxhash.xxh64_intdigest(word.encode(), 42)
+        if after is not None:
+            first = xxhash.xxh64_intdigest(after.encode(), first)
+        second = xxhash.xxh64_intdigest(struct.pack("<Q", first), 42)
+        for place, hashed in enumerate((first, second)):
+            for bit in range(64):
+                tally[64 * place + bit] += (len(word) + len(after or "")) * (1 if hashed >> bit & 1 else -1)
+    return "".join(
+        f"{sum(1 << bit for bit in range(64) if tally[64 * place + bit] > 0):016x}" for place in (0, 1)
+    )
+
+
 def check(rows, texts):
     """Edited digests and likenesses of documents with distinct ids."""
     order = sorted(texts)
@@ -27,6 +48,10 @@ def check(rows, texts):
 def test_documents(documents, texts):
     rows = simhash.fingerprint_documents(documents).collect()
     check(rows, texts)
+    assert {r.doc_id: r.fingerprint for r in rows} == {n: votes(text) for n, text in texts.items()}
+    prints = sorted({r.fingerprint for r in rows})
+    near = {p: sum(0 < bits(p, other) <= simhash.RADIUS for other in prints) for p in prints}
+    assert {r.fingerprint: r.near_links for r in rows} == near
     assert sum(r.near_edited > r.near_next for r in rows) > 0.95 * len(rows)
 
 
@@ -52,7 +77,8 @@ def test_edges(spark, edge_docs, empty_docs):
     assert simhash.fingerprint_documents(one).first().near_next == 1.0
 
 
-def test_all_pairs_within_the_radius_are_found(spark):
+@pytest.mark.parametrize(("radius", "blocks"), [(3, 6), (3, 4), (2, 7), (1, 2)])
+def test_all_pairs_within_the_radius_are_found(spark, radius, blocks):
     import random
 
     random.seed(3)
@@ -64,8 +90,10 @@ def test_all_pairs_within_the_radius_are_found(spark):
                 prints.add(value ^ sum(1 << bit for bit in random.sample(range(128), flips)))
     texts = [f"{value:032x}" for value in prints]
     df = spark.createDataFrame([(t,) for t in texts] * 2 + [(None,)], "fingerprint string")
-    got = {(r.a, r.b): r.distance for r in simhash.pairs_within(df).collect()}
-    want = {(a, b): bits(a, b) for a in texts for b in texts if a < b and bits(a, b) <= 3}
+    pairs = [(r.a, r.b) for r in simhash.pairs_within(df, radius, blocks).collect()]
+    assert len(pairs) == len(set(pairs))
+    got = {(r.a, r.b): r.distance for r in simhash.pairs_within(df, radius, blocks).collect()}
+    want = {(a, b): bits(a, b) for a in texts for b in texts if a < b and bits(a, b) <= radius}
     assert got == want
-    counts = {r.fingerprint: r.near_links for r in simhash.within_radius(df).collect()}
+    counts = {r.fingerprint: r.near_links for r in simhash.within_radius(df, radius, blocks).collect()}
     assert sum(counts.values()) == 2 * len(want)
