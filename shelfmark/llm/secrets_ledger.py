@@ -5,7 +5,10 @@ was scanned with which rule version, and what was found. A run scans each blob a
 version not in the ledger once, however many paths and versions hold the blob, adds to the
 ledger, and joins the findings back to all paths.
 
-Defined results: a null text is an empty blob without findings. Repeated rows share a blob
+``scan_into`` keeps the ledger as Parquet files in a given folder and adds to them.
+
+Defined results: a null text is an empty blob without findings. An empty table has no findings
+and adds nothing to the ledger; a text of any length is scanned whole. Repeated rows share a blob
 and get its findings each. Offsets are code points, ends exclusive. Only id and text are
 read.
 """
@@ -20,7 +23,8 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfmark.operators.joins import skew_join
 from shelfmark.llm.common import staged, whole
@@ -89,6 +93,16 @@ def empty_ledger(docs: DataFrame) -> DataFrame:
     return docs.sparkSession.createDataFrame([], LEDGER)
 
 
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger kept in a folder; an empty one where the folder has no files yet."""
+    try:
+        return spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)
+
+
 def versions_of(
     docs: DataFrame, id_col: str, text_col: str, rules: Sequence[Rule]
 ) -> DataFrame:
@@ -175,19 +189,48 @@ def scan_documents(
     """Findings of all paths, and the ledger with this run's rows added.
 
     The first has a row per path version: path, blob, and ``findings``, an array of
-    ``(kind, start, end)``. Findings are joined to paths by blob; blobs without findings
-    need no join partner, and a blob of very many paths can be split.
+    ``(kind, start, end)``.
     """
     before = empty_ledger(docs) if ledger is None else ledger
     versions = staged(versions_of(docs, id_col, text_col, rules), "secret-versions")
     added = staged(scan_unseen(docs, versions, before, id_col, text_col, rules), "secret-ledger")
     after = before.select(*added.columns).unionAll(added)
+    return findings_of(versions, after, rules), after
+
+
+def scan_into(
+    docs: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    rules: Sequence[Rule] = RULES,
+) -> DataFrame:
+    """Findings of all paths, by way of the ledger kept in the folder ``path``.
+
+    What the run scanned is made first, in the scratch folder, and then appended, so a run that
+    fails on the way leaves the ledger as it was. One run at a time may add to a folder; were two
+    to add the same rows, findings would still count once.
+    """
+    before = read_ledger(docs.sparkSession, path)
+    versions = staged(versions_of(docs, id_col, text_col, rules), "secret-versions")
+    added = staged(scan_unseen(docs, versions, before, id_col, text_col, rules), "secret-ledger")
+    added.write.mode("append").parquet(path)
+    ledger = read_ledger(docs.sparkSession, path).dropDuplicates(["blob", "kind", "version"])
+    return findings_of(versions, ledger, rules)
+
+
+def findings_of(versions: DataFrame, ledger: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The ledger's findings by the given rules, joined to all paths.
+
+    They meet by blob; blobs without findings need no join partner, and a blob of very many
+    paths can be split.
+    """
     current = F.create_map(*(F.lit(x) for rule in rules for x in (rule.kind, rule.version)))
     findings = (
-        after.where((F.size("spans") > 0) & (current[F.col("kind")] == F.col("version")))
+        ledger.where((F.size("spans") > 0) & (current[F.col("kind")] == F.col("version")))
         .select("blob", "kind", F.explode("spans").alias("span"))
         .groupBy("blob").agg(F.collect_list(F.struct("kind", "span.start", "span.end")).alias("findings"))
     )
     nothing = F.array().cast("array<struct<kind:string,start:int,end:int>>")
     joined = skew_join(versions.select("path", "blob"), findings, ["blob"], "left")
-    return joined.withColumn("findings", F.coalesce("findings", nothing)), after
+    return joined.withColumn("findings", F.coalesce("findings", nothing))

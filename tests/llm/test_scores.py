@@ -1,8 +1,12 @@
+import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
+import brute
 from conftest import LONG, ROWS
 from shelfmark.llm import quality, toxicity
 from shelfmark.llm.labels import Logistic, held_out, training_labels
@@ -136,3 +140,79 @@ def test_no_bad_label_is_read(spark, documents):
         for chosen in (labels, labels.where("quality = 1"))
     ]
     assert all((a == b).all() for a, b in zip(*models, strict=True))
+
+
+def plain_quality(text):
+    """The features of a text, by counting bytes and words, in lower case, one by one."""
+    data, words = text.encode(), brute.WORD.findall(brute.lower(text))
+    count = len(words)
+    kinds = [
+        lambda b: chr(b).isupper() and b < 128, lambda b: chr(b).islower() and b < 128,
+        lambda b: 48 <= b <= 57, lambda b: chr(b) in ".,;:?",
+        lambda b: 32 < b < 127 and not chr(b).isalnum() and chr(b) not in ".,;:?",
+        lambda b: b == 10, lambda b: b >= 128, lambda b: b == 32 or 9 <= b <= 13,
+    ]
+    shares = [sum(map(kind, data)) / max(len(data), 1) for kind in kinds]
+    solid = sum(len(word.encode()) for word in words)
+    row = [math.log1p(count), min(solid / max(count, 1), 100), *shares]
+    if not count:
+        return row + [0.0] * 6
+    runs = [list(zip(*(words[i:] for i in range(size)), strict=False)) for size in (2, 3, 5)]
+    same = [[len(set(part)) == 1 for part in run] for run in runs]
+    return row + [
+        len(set(words)) / count, max(Counter(words).values()) / count,
+        sum(same[0]) / max(len(runs[0]), 1),
+        len(set(runs[0])) / len(runs[0]) if runs[0] else 1.0,
+        len(set(runs[2])) / len(runs[2]) if runs[2] else 1.0,
+        sum(same[1]) / max(len(runs[1]), 1),
+    ]
+
+
+def test_quality_query_against_brute_force(spark, sf_small, documents, texts):
+    model = quality.fit(documents, spark.read.parquet(f"{sf_small}/labels.parquet"))
+    first, shift, last, level = model.weights
+    for row in QUERIES["op9_quality"](spark, sf_small).collect():
+        x = [
+            max(-8, min(8, (value - mean) / scale)) for value, mean, scale
+            in zip(plain_quality(texts[row.doc_id]), model.mean, model.scale, strict=True)
+        ]
+        total = level[0]
+        for place in range(len(last)):
+            total += last[place] * math.tanh(shift[place] + sum(a * w for a, w in zip(x, first[:, place], strict=True)))
+        assert row.score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)
+
+
+def plain_toxicity(text, lexicon):
+    """The features of a text, term by term without an automaton."""
+    folded = toxicity.fold(text)
+
+    def places(term):
+        at = folded.find(term)
+        while at >= 0:
+            end = at + len(term)
+            if not (at and folded[at - 1].isalnum()):
+                yield at, end, end == len(folded) or not folded[end].isalnum()
+            at = folded.find(term, at + 1)
+
+    harmless = [(a, b) for phrase in lexicon.exceptions for a, b, closed in places(phrase) if closed]
+    heaviest = {}
+    for terms, whole_word in ((lexicon.words, True), (lexicon.starts, False)):
+        for term, weight in terms.items():
+            for a, b, closed in places(term):
+                if (closed or not whole_word) and not any(x <= a and b <= y for x, y in harmless):
+                    heaviest[a] = max(heaviest.get(a, (0.0, "")), (weight, term))
+    times = Counter(heaviest.values())
+    total = sum(weight * (1 + math.log(count)) for (weight, _), count in times.items())
+    return [math.log1p(total), math.log1p(100 * total / len(re.split(" ", folded))), math.log1p(len(times))]
+
+
+def test_toxicity_query_against_brute_force(spark, sf_small, documents, texts):
+    model = toxicity.fit(documents, spark.read.parquet(f"{sf_small}/labels.parquet"))
+    shift, *weights = model.score.weights
+    for row in QUERIES["op1_toxicity"](spark, sf_small).collect():
+        found = plain_toxicity(texts[row.doc_id], model.lexicon)
+        total = shift + sum(
+            weight * (value - mean) / scale for weight, value, mean, scale
+            in zip(weights, found, model.score.mean, model.score.scale, strict=True)
+        )
+        assert row.score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)

@@ -1,11 +1,13 @@
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import brute
 from conftest import ROWS
 from shelfmark.llm import pii, secrets_ledger
+from shelfmark.llm.common import staged
 from shelfmark.llm.queries import QUERIES
 
 HARD = [
@@ -170,3 +172,26 @@ def test_a_new_rule_version_is_scanned_again(spark):
     found, after = secrets_ledger.scan_documents(docs, ledger, rules=changed)
     assert found.first().findings == []
     assert after.count() == ledger.count() + 1
+
+
+def test_a_ledger_in_a_folder(spark, tmp_path, empty_docs):
+    secret, path = "token = abcdef123456", str(tmp_path / "ledger")
+    runs = [
+        [(1, secret), (2, secret), (3, None)],
+        [(2, "password=abcdefg"), (4, secret)],
+        [(5, "")],
+    ]
+    sizes = [0]
+    for rows in runs:
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        found = secrets_ledger.scan_into(docs, path)
+        assert sorted((r.path, text_of(r.findings)) for r in found.collect()) == sorted(
+            (number, sorted(brute.spans(text or "", brute.SECRETS))) for number, text in rows
+        )
+        sizes.append(secrets_ledger.read_ledger(spark, path).count())
+    assert np.diff(sizes).tolist() == [2 * len(secrets_ledger.RULES), len(secrets_ledger.RULES), 0]
+    assert secrets_ledger.scan_into(empty_docs, path).count() == 0
+    again = secrets_ledger.read_ledger(spark, path)
+    staged(again, "again").write.mode("append").parquet(path)
+    docs = spark.createDataFrame(runs[0], "doc_id long, text string")
+    assert [len(r.findings) for r in secrets_ledger.scan_into(docs, path).orderBy("path").collect()] == [1, 1, 0]
