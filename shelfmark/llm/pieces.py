@@ -2,8 +2,8 @@
 
 The model's protobuf is parsed here; its normaliser, space marker, piece scores and byte
 fallback are rebuilt as a tokenizer of that library. Texts are cut into segments that no
-piece crosses, distinct segments are encoded in multithreaded batches, and each distinct
-segment is also encoded by the original library to verify parity.
+piece crosses, distinct segments are encoded in multithreaded batches. To verify parity each
+distinct segment is also encoded by the original library, and so is every raw text, whole.
 
 Defined results: a null or empty text has no ids and decodes to the empty text. Strings of
 control tokens in a text are ordinary text. Repeated rows are encoded each. An empty table gives
@@ -220,14 +220,9 @@ class PieceEncoder:
 
 
     def parity(self, texts: Sequence[str], ids: Sequence[np.ndarray]) -> list[bool]:
-        """Whether each text's ids are the original's.
-
-        As long as every segment met was the original's, the first text is compared whole with
-        what the original makes of the raw text, normaliser and marker included; else all are.
-        """
-        checked = 1 if not self.differing else len(texts)
-        found = [self.complete.encode(t) == i.tolist() for t, i in zip(texts[:checked], ids, strict=False)]
-        return found + [True] * (len(texts) - len(found))
+        """Whether each text's ids are the original's for the whole raw text, normaliser and
+        marker included."""
+        return [self.complete.encode(t) == i.tolist() for t, i in zip(texts, ids, strict=True)]
 
 
 class PieceDecoder:
@@ -267,9 +262,9 @@ def encode_documents(
 ) -> DataFrame:
     """One row per document: its ids, and whether they decode to the text.
 
-    ``parity`` tells that the original library gives the same ids: each distinct segment that a
-    worker meets is compared, and whole texts as ``PieceEncoder.parity`` says. One pass without a shuffle; batches are encoded with
-    as many threads as Spark gives a task.
+    ``parity`` tells that the original library gives the same ids for the whole text; every text
+    is compared. One pass without a shuffle; batches are encoded with as many threads as Spark
+    gives a task.
     """
     threads = docs.sparkSession.conf.get("spark.task.cpus", "1")
 

@@ -226,3 +226,13 @@ def test_parity_is_per_text_once_a_segment_differs():
     wrong = [ids[0], ids[1][:-1], ids[2]]
     encoder.differing = 1
     assert encoder.parity(texts, wrong) == [True, False, True]
+
+
+def test_every_whole_text_is_compared():
+    """Texts that go wrong between segments, anywhere in a batch, while every segment is right."""
+    encoder = pieces.PieceEncoder()
+    texts = [f"text {n} of some" for n in range(300)]
+    ids = list(encoder(texts))
+    wrong = [i[::-1] if n in (1, 255, 299) else i for n, i in enumerate(ids)]
+    assert encoder.differing == 0
+    assert [n for n, same in enumerate(encoder.parity(texts, wrong)) if not same] == [1, 255, 299]
