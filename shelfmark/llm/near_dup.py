@@ -6,7 +6,8 @@ position of the minhash signature, and branches by the tokens its documents have
 Small nodes are compared exhaustively by signature, larger ones branch on, by one or two
 positions, so that documents of the wanted similarity keep meeting. A document of a crowded
 node carries its signature and the list of its open nodes in one row, and branches in its task.
-Nodes that don't part are compared block against block, each document with all those that it
+Crowded nodes that are one family but for a few documents don't branch. They and nodes that
+don't part are compared block against block, each document with all those that it
 is not yet connected to. What is similar by signature forms clusters, within which links are
 confirmed on the full sets: all pairs of a cluster of bounded size; of a larger one the pairs
 that met in small nodes or blocks, as long as their documents are not linked already by way
@@ -64,8 +65,17 @@ class Settings:
     @property
     def least_matches(self) -> int:
         """Equal tokens that a pair of the wanted similarity falls short of once in 30,000."""
-        spread = (self.threshold * (1 - self.threshold) * self.tokens) ** 0.5
-        return int(self.threshold * self.tokens - 4 * spread)
+        return int(self.threshold * self.tokens - 4 * self.spread)
+
+    @property
+    def sure_matches(self) -> int:
+        """Equal tokens that a pair of the wanted similarity exceeds once in 40."""
+        return int(self.threshold * self.tokens + 2 * self.spread)
+
+    @property
+    def spread(self) -> float:
+        """The standard deviation of a pair's equal tokens."""
+        return (self.threshold * (1 - self.threshold) * self.tokens) ** 0.5
 
 
 def multipliers(count: int) -> np.ndarray:
@@ -242,9 +252,10 @@ def settle(frontier: DataFrame, settings: Settings) -> tuple[DataFrame, DataFram
 
 def small_nodes(reps: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame | None]:
     """The distinct small nodes of all trees, ``(gid, tree, members)``, and the rows
-    ``(node, rep, n)`` of nodes that did not part.
+    ``(node, tree, rep, n)`` of nodes to compare in blocks.
 
-    Nodes of one are done with. Nodes too large to compare branch on, two levels at a time,
+    Nodes of one are done with. A crowded node that is one family but for a few documents is
+    compared in blocks at once, whole, so its documents need no more trees. Other nodes too large to compare branch on, two levels at a time,
     and their documents get more trees; only these documents' signatures are read again. As
     a node chooses 1 / threshold positions on average, a similar pair that meets at
     ``first_depth`` still meets d levels below in about one tree of 1 + d / 7. Where a node
@@ -256,6 +267,10 @@ def small_nodes(reps: DataFrame, settings: Settings) -> tuple[DataFrame, DataFra
     members, rest = settle(plant(reps, 0, settings.trees, depth, settings), settings)
     kept = [members]
     stuck: list[DataFrame] = []
+    if rest is not None:
+        family, rest = families(rest, reps, settings)
+        stuck.append(family)
+        rest = None if rest.isEmpty() else rest
     if rest is not None:
         wanted = staged(rest.select("rep").distinct(), "near-wanted")
         crowded = staged(
@@ -284,11 +299,11 @@ def small_nodes(reps: DataFrame, settings: Settings) -> tuple[DataFrame, DataFra
             levels = depth - settings.first_depth
             if rest is not None and levels >= 4:
                 dense = F.col("size") > settings.threshold ** (levels / 2) * F.col("origin")
-                stuck.append(rest.where(dense))
+                stuck.append(rest.where(dense).withColumn("tree", F.lit(0)))
                 rest = rest.where(~dense)
                 rest = None if rest.isEmpty() else rest
         if rest is not None:
-            stuck.append(rest)
+            stuck.append(rest.withColumn("tree", F.lit(0)))
     nodes = reduce(DataFrame.unionAll, kept).groupBy("node").agg(
         F.sort_array(F.collect_set("rep")).alias("members"), F.min("tree").alias("tree")
     ).where(F.size("members") > 1)
@@ -299,21 +314,50 @@ def small_nodes(reps: DataFrame, settings: Settings) -> tuple[DataFrame, DataFra
     )
     if not stuck:
         return groups, None
-    left = staged(reduce(DataFrame.unionAll, stuck).select("node", "rep", "n"), "near-stuck")
+    left = staged(reduce(DataFrame.unionAll, (
+        rows.select("node", "tree", "rep", "n") for rows in stuck
+    )), "near-stuck")
     return groups, None if left.isEmpty() else left
 
 
-def block_of(salt: int, blocks: Column) -> Column:
+def families(rows: DataFrame, reps: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """The rows of crowded nodes that are one family but for a few documents, and the rows of
+    the others.
+
+    A family is what documents surely alike by signature connect, looked for within blocks of
+    each node. To compare the few, at most a small node's worth, with the whole node in blocks
+    takes some rows per document, where branching takes rows in each tree and level. This only
+    decides how a node is compared, not what is found in it.
+    """
+    signed, count = with_signatures(within_blocks(rows.select("node", "tree", "rep"), settings), reps, settings)
+    labels = components(
+        likely_links(signed, count, settings, settings.sure_matches), "near-family", settings.broadcast_rows
+    ).select(F.col("id").alias("rep"), F.col("component").alias("label"))
+    of_label = rows.select("node", "rep", "n").join(labels, "rep", "left").groupBy(
+        "node", F.coalesce("label", "rep").alias("label")
+    ).agg(F.count("*").alias("count"), F.sum("n").alias("n"))
+    few = F.sum("count") - F.max("count") <= settings.small_node
+    fits = F.sum("n") * settings.small_node <= F.sum("count") * settings.group_shingles
+    nodes = staged(of_label.groupBy("node").agg((few & fits).alias("whole")).where("whole").select("node"), "near-whole")
+    count = nodes.count()
+    return tuple(
+        sized_join(rows, nodes, ["node"], count, settings.broadcast_rows, how)
+        for how in ("left_semi", "left_anti")
+    )
+
+
+def block_of(salt: int | Column, blocks: Column) -> Column:
     return F.pmod(F.xxhash64("rep", F.lit(salt)), blocks)
 
 
 def within_blocks(stuck: DataFrame, settings: Settings) -> DataFrame:
-    """``(gid, tree, rep)``: the rows of each node that did not part, dealt to blocks by hash."""
+    """``(gid, tree, rep)``: the rows ``(node, tree, rep)`` of each node, dealt to blocks by hash,
+    in each node another way."""
     sizes = stuck.groupBy("node").agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / (settings.small_node // 2)).cast("long")
     return skew_join(stuck, sizes, ["node"], "inner").select(
-        F.xxhash64(F.lit("block"), "node", block_of(0, blocks)).alias("gid"),
-        F.lit(0).alias("tree"), "rep",
+        F.xxhash64(F.lit("block"), "node", block_of(F.col("node"), blocks)).alias("gid"),
+        "tree", "rep",
     )
 
 
@@ -447,9 +491,9 @@ def by_group(rows: DataFrame, buckets: int, schema: str, found_in) -> DataFrame:
 GROUP_ROWS = 20_000
 
 
-def likely_links(signed: DataFrame, rows: int, settings: Settings) -> DataFrame:
-    """Pairs ``(a, b)`` that connect what is similar by signature in each group."""
-    width, least = settings.tokens, settings.least_matches
+def likely_links(signed: DataFrame, rows: int, settings: Settings, least: int) -> DataFrame:
+    """Pairs ``(a, b)`` that connect what has ``least`` equal tokens or more in each group."""
+    width = settings.tokens
 
     def found_in(_, reps, tokens):
         alike = matches(token_matrix(tokens, width)) >= least
@@ -506,13 +550,16 @@ def near_duplicates(
     if stuck is not None:
         met = met.unionAll(within_blocks(stuck, settings))
     signed, rows = with_signatures(met, reps, settings)
-    clusters = components(likely_links(signed, rows, settings), "near-alike", settings.broadcast_rows)
+    clusters = components(
+        likely_links(signed, rows, settings, settings.least_matches), "near-alike", settings.broadcast_rows
+    )
     if stuck is not None:
         labels = clusters.select(F.col("id").alias("rep"), F.col("component").alias("label"))
         further, many = with_signatures(across_blocks(stuck, labels, settings), reps, settings)
         hung = clusters.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
         clusters = components(
-            hung.unionAll(likely_links(further, many, settings)), "near-alike", settings.broadcast_rows
+            hung.unionAll(likely_links(further, many, settings, settings.least_matches)),
+            "near-alike", settings.broadcast_rows,
         )
     known, large = sized_clusters(clusters, reps, settings)
     links = links_of_clusters(known, docs, id_col, text_col, settings)

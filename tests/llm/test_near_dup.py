@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import brute
 from conftest import ROWS
+from shelfmark.llm import near_dup
 from shelfmark.llm.common import components
 from shelfmark.llm.shingles import byte_slices, shingle_sets
 from shelfmark.llm.near_dup import (
@@ -53,6 +54,24 @@ def test_a_large_group_of_near_copies(spark, small):
     assert got(near_duplicates(docs, settings=settings)) == wanted(texts, 3, 85)
 
 
+def test_a_crowded_family_neither_branches_nor_gets_more_trees(spark, monkeypatch):
+    """Its rows would multiply by trees and levels; it is compared whole, at once."""
+    rows = []
+    for name in ("plant", "descend"):
+        original = getattr(near_dup, name)
+
+        def counted(*args, original=original):
+            rows.append(original(*args).count())
+            return original(*args)
+
+        monkeypatch.setattr(near_dup, name, counted)
+    texts = chain(300)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    settings = Settings(words=3, percent=85, small_node=64, small_cluster=64)
+    assert got(near_duplicates(docs, settings=settings)) == wanted(texts, 3, 85)
+    assert rows == [len(texts) * settings.trees]
+
+
 def test_pairs_of_a_crowded_source_keep_meeting(spark):
     """Each source has one pair 86 % alike, all else there is less; its nodes get small at depth 15."""
     rng = np.random.default_rng(3)
