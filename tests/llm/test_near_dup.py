@@ -54,7 +54,8 @@ def test_a_large_group_of_near_copies(spark, small):
     assert got(near_duplicates(docs, settings=settings)) == wanted(texts, 3, 85)
 
 
-def test_a_crowded_family_neither_branches_nor_gets_more_trees(spark, monkeypatch):
+@pytest.mark.parametrize("words, percent", [(3, 85), (5, 80)])  # op10's and the pipeline's
+def test_a_crowded_family_neither_branches_nor_gets_more_trees(spark, monkeypatch, words, percent):
     """Its rows would multiply by trees and levels; it is compared whole, at once."""
     rows = []
     for name in ("plant", "descend"):
@@ -67,8 +68,8 @@ def test_a_crowded_family_neither_branches_nor_gets_more_trees(spark, monkeypatc
         monkeypatch.setattr(near_dup, name, counted)
     texts = chain(300)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    settings = Settings(words=3, percent=85, small_node=64, small_cluster=64)
-    assert got(near_duplicates(docs, settings=settings)) == wanted(texts, 3, 85)
+    settings = Settings(words=words, percent=percent, small_node=64, small_cluster=64)
+    assert got(near_duplicates(docs, settings=settings)) == wanted(texts, words, percent)
     assert rows == [len(texts) * settings.trees]
 
 
