@@ -66,7 +66,8 @@ def test_a_crowded_family_neither_branches_nor_gets_more_trees(spark, monkeypatc
             return original(*args)
 
         monkeypatch.setattr(near_dup, name, counted)
-    texts = chain(300)
+    base = [f"w{n}" for n in range(150)]
+    texts = {n: " ".join([*base[: n % 150], f"own{n}", *base[n % 150 + 1 :]]) for n in range(300)}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     settings = Settings(words=words, percent=percent, small_node=64, small_cluster=64)
     assert got(near_duplicates(docs, settings=settings)) == wanted(texts, words, percent)
